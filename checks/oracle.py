@@ -1,0 +1,2 @@
+def all_sql():
+    return {}
