@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from checks import fixture as fx
 from docwatch.functions import text as tx
+from docwatch.functions.arrays import explode_rows
 from docwatch.operators import collect, digest, features, language, quality, rollup
 from docwatch.operators import summaries as sm
 from docwatch.operators import tables, tagging
@@ -49,7 +50,7 @@ def rounded(column: str, digits: int = 6) -> F.Column:
 def items_per_topic(spark, sf_dir):
     """Items per topic by the keyword rule."""
     tags = tagging.tag_keywords(fx.plain_items(spark, sf_dir), fx.BOOK)
-    exploded = tags.select(F.explode("topics").alias("topic"))
+    exploded = explode_rows(tags, [], F.col("topics"), "topic")
     return exploded.groupBy("topic").agg(F.count("*").alias("n_items"))
 
 
@@ -58,7 +59,7 @@ def items_per_topic(spark, sf_dir):
 
 def _landed_feeds(spark, sf_dir) -> str:
     path = fresh_path(spark, "feeds")
-    fx.feed_xml(spark, sf_dir).write.partitionBy("dialect").text(path)
+    fx.feed_xml(spark, sf_dir).write.partitionBy("dialect", "feed").text(path)
     return path
 
 

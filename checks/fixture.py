@@ -184,7 +184,7 @@ def feed_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feed_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``value``: the documents as RSS and Atom documents, one per line of text."""
+    """``dialect, feed, value``: one feed document per source and thousand ids."""
     docs = table(spark, sf_dir, "documents")
     n, ts = F.col("doc_id"), item_ts(F.col("doc_id"))
 
@@ -200,24 +200,35 @@ def feed_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
     title = escaped(F.left(F.split(F.col("text"), "\n", 2)[0], F.lit(80)))
     body = escaped(F.left("text", F.lit(500)))
     rss = F.concat(
-        F.lit('<rss version="2.0" xmlns:content="http://purl.org/rss/1.0/modules/content/"><channel><item>'),
-        tag("title", title), tag("link", url), tag("guid", F.concat(F.lit("g"), n.cast("string"))),
+        F.lit("<item>"), tag("title", title), tag("link", url),
+        tag("guid", F.concat(F.lit("g"), n.cast("string"))),
         tag("pubDate", F.date_format(ts, "EEE, dd MMM yyyy HH:mm:ss '+0000'")),
-        tag("description", body),
-        F.lit("</item></channel></rss>"),
+        tag("description", body), F.lit("</item>"),
     )
     atom = F.concat(
-        F.lit('<feed xmlns="http://www.w3.org/2005/Atom"><entry>'),
-        tag("title", title), F.lit('<link rel="alternate" href="'), url, F.lit('"/>'),
+        F.lit("<entry>"), tag("title", title),
+        F.lit('<link rel="alternate" href="'), url, F.lit('"/>'),
         F.lit('<link rel="edit" href="https://edit.example.org/"/>'),
         tag("id", F.concat(F.lit("a"), n.cast("string"))),
         tag("updated", F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")),
-        tag("summary", body),
-        F.lit("</entry></feed>"),
+        tag("summary", body), F.lit("</entry>"),
     )
-    return docs.select(
-        F.when(n % 2 == 0, F.lit("rss")).otherwise(F.lit("atom")).alias("dialect"),
-        F.when(n % 2 == 0, rss).otherwise(atom).alias("value"),
+    is_rss = F.substring("source", -1, 1).isin(list("02468"))
+    entries = docs.select(
+        F.when(is_rss, "rss").otherwise("atom").alias("dialect"),
+        F.concat_ws("-", "source", F.floor(n / 1000).cast("string")).alias("feed"),
+        F.struct(n.alias("n"), F.when(is_rss, rss).otherwise(atom).alias("xml")).alias("entry"),
+    )
+    whole = F.array_join(F.transform(F.array_sort(F.collect_list("entry")), lambda e: e["xml"]), "\n")
+    return entries.groupBy("dialect", "feed").agg(whole.alias("xml")).select(
+        "dialect",
+        "feed",
+        F.when(
+            F.col("dialect") == "rss",
+            F.concat(F.lit('<rss version="2.0"><channel>'), "xml", F.lit("</channel></rss>")),
+        )
+        .otherwise(F.concat(F.lit('<feed xmlns="http://www.w3.org/2005/Atom">'), "xml", F.lit("</feed>")))
+        .alias("value"),
     )
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from docwatch.functions.arrays import explode_rows, posexplode_rows
 from docwatch.functions.text import (
     blank_to_null,
     clean_text,
@@ -17,6 +18,7 @@ from docwatch.functions.text import (
 )
 from docwatch.operators.features import content_tokens, idf
 from docwatch.operators.tables import summary_update
+from docwatch.session import materialize
 
 # Fixed values of the summary format.
 TOP_CLUSTERS = 24
@@ -100,12 +102,13 @@ def extractive_summary(contexts: DataFrame, bullets: int = BULLETS) -> DataFrame
     don't take part; equal weights go to the earlier sentence; the chosen ones
     keep their order.
     """
-    sentences = contexts.select(
-        "cluster_id", F.posexplode(_context_sentences(F.col("context"))).alias("pos", "sentence")
+    found = posexplode_rows(
+        contexts, ["cluster_id"], _context_sentences(F.col("context")), "sentence"
     ).filter(F.col("sentence") != "")
-    words = sentences.select(
-        "cluster_id", "pos", F.explode(content_tokens(F.col("sentence"))).alias("word")
+    sentences = materialize(
+        found.withColumn("words", content_tokens(F.col("sentence"))), "sentences"
     )
+    words = explode_rows(sentences, ["cluster_id", "pos"], F.col("words"), "word")
     counts = words.groupBy("cluster_id", "pos", "word").agg(F.count("*").alias("n"))
     df = counts.groupBy("word").agg(F.count_distinct("cluster_id").alias("df"))
     n_docs = contexts.agg(F.count("*")).scalar()
@@ -264,8 +267,11 @@ def summaries_for(
     Without ``raw`` the summaries are extractive. With it, a cluster that has
     context but no raw text gets the failure text.
     """
-    reps = rep_items(clusters, items)
-    contexts = clusters.select("cluster_id").join(cluster_context(reps), "cluster_id", "left")
+    clusters = materialize(clusters.select("cluster_id", "rep_item_ids"), "to-summarise")
+    reps = materialize(rep_items(clusters, items), "reps")
+    contexts = materialize(
+        clusters.select("cluster_id").join(cluster_context(reps), "cluster_id", "left"), "contexts"
+    )
     facts = (
         clusters.select("cluster_id")
         .join(rep_facts(reps), "cluster_id", "left")

@@ -23,7 +23,7 @@ from docwatch.functions.text import (
     match_text,
     strip,
 )
-from docwatch.functions.vectors import best_similarity
+from docwatch.functions.vectors import best_similarity, groups_above
 from docwatch.sources.config import Dictionary, TopicTerms
 
 # Fixed values of the matching rule.
@@ -219,7 +219,8 @@ def with_anchor_scores(vectors: DataFrame, anchors: DataFrame) -> DataFrame:
 
 def anchor_scores(vectors: DataFrame, anchors: DataFrame) -> DataFrame:
     """``id, topic, score``, one row per item and topic."""
-    return with_anchor_scores(vectors, anchors).select("id", F.explode("scores").alias("topic", "score"))
+    scored = with_anchor_scores(vectors, anchors).select("id", F.explode_outer("scores").alias("topic", "score"))
+    return scored.filter(F.col("topic").isNotNull())
 
 
 def near_topics(
@@ -230,14 +231,7 @@ def near_topics(
 ) -> DataFrame:
     """``id, near, strong`` for items that reach the threshold for any topic."""
     known = anchors if topics is None else anchors.filter(F.col("topic").isin(list(topics)))
-    scored = with_anchor_scores(vectors, known)
-
-    def at_least(limit: float) -> Column:
-        return F.array_sort(F.map_keys(F.map_filter("scores", lambda _, s: s >= limit)))
-
-    return scored.select(
-        "id", at_least(threshold).alias("near"), at_least(threshold + STRONG_MARGIN).alias("strong")
-    ).filter(F.size("near") > 0)
+    return groups_above(vectors, _anchor_groups(known), threshold, threshold + STRONG_MARGIN)
 
 
 def tag_embeddings(labels: DataFrame, near: DataFrame) -> DataFrame:
