@@ -239,7 +239,7 @@ def short_body_report(spark, sf_dir):
 @query
 def html_to_text(spark, sf_dir):
     pages = fx.table(spark, sf_dir, "pages")
-    return pages.select("page_id", tx.html_to_text(F.col("html")).alias("text"))
+    return tx.with_html_text(pages, F.col("html"), "text").select("page_id", "text")
 
 
 @query

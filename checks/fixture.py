@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from docwatch.operators.rollup import cluster_rollup
 from docwatch.sources.config import Dictionary
+from docwatch.sources.tables import read_table
 
 AS_OF = datetime(2024, 1, 31, tzinfo=timezone.utc)
 EARLIER = datetime(2024, 1, 30, tzinfo=timezone.utc)
@@ -36,7 +37,7 @@ LINK_DISTANCE = 0.65
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_table(spark, f"{sf_dir}/{name}.parquet")
 
 
 def item_ts(number) -> F.Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import unicodedata
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docwatch.functions.python_text import (
@@ -20,9 +20,16 @@ SPACE_CHARS = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-SPACE_CLASS = (
-    r"\x{09}-\x{0D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
-    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+WIDE_SPACES = (
+    r"\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+)
+SPACE_CLASS = r"\x{09}-\x{0D}\x{1C}-\x{20}" + WIDE_SPACES
+# Runs of white space that aren't a single space already. Java walks a class
+# with many ranges slowly, so each branch starts with a test of few ranges.
+SPACES_TO_COLLAPSE = (
+    rf" (?=[\x{{09}}-\x{{0D}}\x{{1C}}-\x{{20}}\x{{80}}-\x{{FFFF}}])[{SPACE_CLASS}]+"
+    rf"|[\x{{09}}-\x{{0D}}\x{{1C}}-\x{{1F}}][{SPACE_CLASS}]*"
+    rf"|[\x{{80}}-\x{{FFFF}}](?<=[{WIDE_SPACES}])[{SPACE_CLASS}]*"
 )
 LINE_BREAK = r"\x{0D}\x{0A}|[\x{0A}-\x{0D}\x{1C}-\x{1E}\x{85}\x{2028}\x{2029}]"
 ZERO_WIDTH = r"[\x{200B}-\x{200F}\x{FEFF}]"
@@ -35,9 +42,9 @@ QUOTES_TO = "--''\"\""
 # Characters outside this class need NFKC or a case rule the JVM's lower() does
 # not have. Inside it NFKC changes nothing and casefold is lower() plus ß -> ss.
 NEEDS_FOLDING = (
-    r"[^\x{00}-\x{7F}\x{A1}-\x{A7}\x{A9}\x{AB}-\x{AE}\x{B0}\x{B1}\x{B6}\x{B7}\x{BB}"
+    r"[^\x{00}-\x{7F}](?<![\x{A1}-\x{A7}\x{A9}\x{AB}-\x{AE}\x{B0}\x{B1}\x{B6}\x{B7}\x{BB}"
     r"\x{BF}-\x{FF}\x{0400}-\x{045F}\x{2013}\x{2014}\x{2018}\x{2019}\x{201C}\x{201D}"
-    r"\x{2022}\x{20AC}\x{2190}-\x{2193}]"
+    r"\x{2022}\x{20AC}\x{2190}-\x{2193}])"
 )
 
 
@@ -60,7 +67,8 @@ def unescape_array(texts: Column) -> Column:
 
 
 def collapse_spaces(text: Column) -> Column:
-    return strip(F.regexp_replace(text, f"[{SPACE_CLASS}]+", " "))
+    """White space runs to one space, stripped; single spaces aren't touched."""
+    return strip(F.regexp_replace(text, SPACES_TO_COLLAPSE, " "))
 
 
 def drop_zero_width(text: Column) -> Column:
@@ -77,20 +85,35 @@ def clean_text(text: Column) -> Column:
     return clean_unescaped(unescape(text))
 
 
+def is_ascii(text: Column) -> Column:
+    """As many bytes as characters; cheaper than any look at the characters."""
+    return F.octet_length(text) == F.length(text)
+
+
 def fold_rare(text: Column) -> Column:
     """Folded forms of the rows the JVM can't fold; NULL for all others."""
-    return fold_unicode(F.when(text.rlike(NEEDS_FOLDING), text))
+    return fold_unicode(F.when(~is_ascii(text) & text.rlike(NEEDS_FOLDING), text))
+
+
+def _each_replaced(text: Column, source: str, target: str) -> Column:
+    """translate() by single replacements: a search for a character that isn't
+    there costs far less than a walk over all characters."""
+    for old, new in zip(source, target):
+        text = F.replace(text, F.lit(old), F.lit(new))
+    return text
 
 
 def match_text(text: Column, folded: Column) -> Column:
-    lowered = F.replace(F.lower(text), F.lit("ß"), F.lit("ss"))
-    plain = F.coalesce(folded["match"], lowered, F.lit(""))
-    return strip(F.translate(plain, QUOTES_FROM, QUOTES_TO))
+    wide = F.coalesce(folded["match"], F.replace(F.lower(text), F.lit("ß"), F.lit("ss")))
+    plain = F.when(is_ascii(text), F.lower(text)).otherwise(
+        _each_replaced(wide, QUOTES_FROM, QUOTES_TO)
+    )
+    return strip(F.coalesce(plain, F.lit("")))
 
 
 def leet_text(text: Column, folded: Column) -> Column:
     plain = F.coalesce(folded["leet"], F.lower(text), F.lit(""))
-    return collapse_spaces(F.translate(plain, LEET_FROM, LEET_TO))
+    return collapse_spaces(_each_replaced(plain, LEET_FROM, LEET_TO))
 
 
 def normalize_for_match(text: Column) -> Column:
@@ -131,15 +154,17 @@ def text_lines(text: Column) -> Column:
 
 MIN_HTML_LENGTH = 30
 HTML_NOISE = (
-    r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<noscript\b.*?</noscript\s*>"
-    r"|<head\b.*?</head\s*>|<nav\b.*?</nav\s*>|<footer\b.*?</footer\s*>"
-    r"|<aside\b.*?</aside\s*>|<form\b.*?</form\s*>|<!--.*?-->"
+    r"(?is)<(?:(?:script\b.*?</script|style\b.*?</style|noscript\b.*?</noscript"
+    r"|head\b.*?</head|nav\b.*?</nav|footer\b.*?</footer|aside\b.*?</aside"
+    r"|form\b.*?</form)\s*>|!--.*?-->)"
 )
 HTML_ARTICLE = r"(?is)<article\b[^>]*>(.*)</article\s*>"
 HTML_BLOCK = (
     r"(?i)</?(?:p|div|br|li|ul|ol|h[1-6]|tr|table|section|article|blockquote|pre)\b[^>]*>"
 )
 HTML_TAG = r"<[^>]+>"
+BLANKS_TO_COLLAPSE = r"[\t\r\f][ \t\r\f]*| [ \t\r\f]+"
+LINES_TO_TRIM = r" ?\n[ \n]*"
 
 
 def _looks_like_html(source: Column) -> Column:
@@ -150,38 +175,75 @@ def _long_enough(source: Column) -> Column:
     return F.when(F.length(source) >= MIN_HTML_LENGTH, source)
 
 
-def _main_part(source: Column) -> Column:
-    """Markup of the main part reduced to lines of still escaped text."""
-    quiet = F.regexp_replace(source, HTML_NOISE, " ")
-    article = blank_to_null(F.regexp_extract(quiet, HTML_ARTICLE, 1))
-    broken = F.regexp_replace(F.coalesce(article, quiet), HTML_BLOCK, "\n")
-    bare = F.regexp_replace(broken, HTML_TAG, "")
-    one_spaced = F.regexp_replace(bare, r"[ \t\r\f]+", " ")
-    return strip(F.regexp_replace(one_spaced, r" ?\n[ \n]*", "\n"))
-
-
 def _strip_tags(source: Column) -> Column:
     return F.regexp_replace(source, HTML_TAG, "")
 
 
-def _escaped_text(source: Column) -> Column:
-    """Main part, else all text of the markup, else the plain text itself."""
-    enough = _long_enough(source)
-    main = blank_to_null(_main_part(enough))
-    return F.when(
-        _looks_like_html(enough), F.coalesce(main, _strip_tags(enough))
-    ).otherwise(enough)
-
-
-def html_to_text(source: Column) -> Column:
-    """Readable text of an HTML fragment or page; NULL when there is none."""
-    return blank_to_null(strip(unescape(_escaped_text(source))))
+def _lines_of(markup: Column) -> Column:
+    broken = F.regexp_replace(markup, HTML_BLOCK, "\n")
+    one_spaced = F.regexp_replace(_strip_tags(broken), BLANKS_TO_COLLAPSE, " ")
+    return strip(F.regexp_replace(one_spaced, LINES_TO_TRIM, "\n"))
+
+
+def with_html_texts(rows: DataFrame, sources: Column, target: str) -> DataFrame:
+    """Add ``target``: the readable text of each element of an array column.
+
+    NULL for elements under 30 characters. Markup gives its main part (the
+    article if there is one, without navigation and the like), or all its text
+    if that is empty; anything else is the text itself. One column per step, so
+    that no step is computed twice.
+    """
+    quiet = rows.withColumn(
+        target,
+        F.transform(
+            sources,
+            lambda s: F.struct(
+                _long_enough(s).alias("source"),
+                F.when(
+                    _looks_like_html(s), F.regexp_replace(_long_enough(s), HTML_NOISE, " ")
+                ).alias("quiet"),
+            ),
+        ),
+    )
+    parted = quiet.withColumn(
+        target,
+        F.transform(
+            target,
+            lambda s: F.struct(
+                s["source"], s["quiet"], F.regexp_extract(s["quiet"], HTML_ARTICLE, 1).alias("article")
+            ),
+        ),
+    )
+    lined = parted.withColumn(
+        target,
+        F.transform(
+            target,
+            lambda s: F.struct(
+                s["source"],
+                _lines_of(F.when(s["article"] != "", s["article"]).otherwise(s["quiet"])).alias("main"),
+            ),
+        ),
+    )
+    escaped = lined.withColumn(
+        target,
+        F.transform(
+            target,
+            lambda s: F.when(s["main"] != "", s["main"])
+            .when(_looks_like_html(s["source"]), _strip_tags(s["source"]))
+            .otherwise(s["source"]),
+        ),
+    )
+    plain = escaped.withColumn(target, unescape_array(F.col(target)))
+    stripped = plain.withColumn(target, F.transform(target, strip))
+    return stripped.withColumn(
+        target, F.transform(target, lambda t: F.when(t != "", t))
+    )
 
 
-def html_array_to_text(sources: Column) -> Column:
-    """:func:`html_to_text` for every element of an array column."""
-    plain = unescape_array(F.transform(sources, _escaped_text))
-    return F.transform(plain, lambda t: blank_to_null(strip(t)))
+def with_html_text(rows: DataFrame, source: Column, target: str) -> DataFrame:
+    """:func:`with_html_texts` for a single text."""
+    texts = with_html_texts(rows, F.array(source), target)
+    return texts.withColumn(target, F.get(target, F.lit(0)))
 
 
 def strip_html_tags(source: Column) -> Column:

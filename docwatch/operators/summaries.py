@@ -77,7 +77,7 @@ def cluster_context(reps: DataFrame) -> DataFrame:
         blank_to_null(F.col("text")),
     )
     blocks = cleaned.select("cluster_id", F.struct("pos", blank_to_null(block).alias("block")).alias("part"))
-    parts = F.transform(F.array_sort(F.collect_list("part")), lambda p: p["block"])
+    parts = F.transform(F.sort_array(F.collect_list("part")), lambda p: p["block"])
     joined = F.concat_ws(BLOCK_BREAK, parts)
     return blocks.groupBy("cluster_id").agg(F.left(joined, F.lit(CONTEXT_CHARS)).alias("context"))
 
@@ -122,7 +122,7 @@ def extractive_summary(contexts: DataFrame, bullets: int = BULLETS) -> DataFrame
         "cluster_id", F.struct("pos", _first_words(F.col("sentence")).alias("text")).alias("line")
     )
     ordered = F.transform(
-        F.array_sort(F.collect_list("line")), lambda l: F.concat(F.lit("- "), l["text"])
+        F.sort_array(F.collect_list("line")), lambda l: F.concat(F.lit("- "), l["text"])
     )
     found = lines.groupBy("cluster_id").agg(F.array_join(ordered, "\n").alias("raw"))
     return contexts.select("cluster_id").join(found, "cluster_id", "left").select(
@@ -140,7 +140,7 @@ def _netloc_label(url: Column) -> Column:
 def rep_facts(reps: DataFrame) -> DataFrame:
     """``cluster_id, titles, urls``: cleaned titles and addresses in order."""
     one = F.struct("pos", clean_text(F.col("title")).alias("title"), "url")
-    parts = F.array_sort(F.collect_list("rep"))
+    parts = F.sort_array(F.collect_list("rep"))
     gathered = reps.select("cluster_id", one.alias("rep")).groupBy("cluster_id").agg(parts.alias("reps"))
     return gathered.select(
         "cluster_id",

@@ -56,7 +56,7 @@ def _first_per_key(rows: DataFrame, key: Column) -> DataFrame:
     maps = {f.name for f in rows.schema.fields if f.dataType.typeName() == "map"}
 
     def comparable(c: str) -> Column:
-        return F.array_sort(F.map_entries(c)).alias(c) if c in maps else F.col(c)
+        return F.sort_array(F.map_entries(c)).alias(c) if c in maps else F.col(c)
 
     first = rows.groupBy(key.alias("_key")).agg(
         F.min(F.struct(*[comparable(c) for c in order])).alias("_row")

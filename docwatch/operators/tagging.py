@@ -238,7 +238,7 @@ def tag_embeddings(labels: DataFrame, near: DataFrame) -> DataFrame:
     """``id, topics`` with the near topics added to ``labels(id, topics)``."""
     return labels.join(near.select("id", "near"), "id", "left").select(
         "id",
-        F.array_sort(F.array_union("topics", F.coalesce("near", F.array().cast("array<string>")))).alias(
+        F.sort_array(F.array_union("topics", F.coalesce("near", F.array().cast("array<string>")))).alias(
             "topics"
         ),
     )
@@ -283,7 +283,7 @@ def tag_hybrid(
         return evidence.select("id", _without_weak("topics", F.col("negatives"), none), "keywords")
     near = near_topics(vectors, anchors, threshold, book.names)
     joined = evidence.join(near, "id", "left")
-    labels = F.array_sort(
+    labels = F.sort_array(
         F.array_union("topics", F.when(F.col("has_text"), F.col("near")).otherwise(none))
     )
     known = joined.withColumns(
