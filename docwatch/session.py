@@ -17,14 +17,14 @@ def shared_dir(spark: SparkSession) -> str:
     machine-local path would be lost with its machine, so a missing setting is
     an error there.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if path:
         return path.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    path = tempfile.mkdtemp(prefix="docwatch-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="docwatch-"))
+    return context.getCheckpointDir()
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

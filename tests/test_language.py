@@ -1,0 +1,55 @@
+from docwatch.operators.language import PROFILES, detect_language, prefer_languages
+from docwatch.operators.tables import scan_pending
+
+
+def test_guess_and_share(spark):
+    rows = spark.createDataFrame(
+        [
+            ("en", "The cat", "and the dog"),
+            ("de", "Der Hund", "und die Katze"),
+            ("ru", "он и она", "это не дом"),
+            ("none", "xyz", "qqq"),
+            ("empty", "", None),
+            ("mixed", "", "the le la"),
+        ],
+        "id string, title string, text string",
+    )
+    got = {r.id: (r.lang, r.lang_conf) for r in detect_language(rows).collect()}
+    assert got["en"] == ("en", 1.0)
+    assert got["de"] == ("de", 1.0)
+    assert got["ru"][0] == "ru"
+    assert got["none"] == ("und", 0.0)
+    assert got["empty"] == (None, None)
+    assert got["mixed"][0] == "fr" and 0 < got["mixed"][1] < 1
+
+
+def test_accuracy_on_known_languages(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").selectExpr(
+        "cast(doc_id as string) id", "'' title", "text", "lang true_lang"
+    )
+    guessed = detect_language(docs).join(docs, "id")
+    right = guessed.filter("lang = true_lang").count()
+    assert right / docs.count() > 0.9
+    assert guessed.filter("lang_conf < 0 or lang_conf > 1").count() == 0
+
+
+def test_tie_goes_to_the_first_name(spark):
+    rows = spark.createDataFrame([("1", "", "the der")], "id string, title string, text string")
+    assert detect_language(rows).first().lang == min(PROFILES.keys() & {"en", "de"})
+
+
+def test_preferences_keep_order(spark):
+    rows = spark.createDataFrame([("1", "de"), ("2", "fr"), ("3", "en"), ("4", None)], "id string, lang string")
+    got = {r.id: r.lang_rank for r in prefer_languages(rows).collect()}
+    assert got == {"1": 2, "3": 1}
+
+
+def test_pending_newest_first(spark):
+    rows = spark.sql(
+        "select * from values ('a', timestamp'2024-01-01', cast(null as string), array('x')),"
+        "('b', timestamp'2024-01-03', null, array('x')), ('c', timestamp'2024-01-02', 'en', array('x')),"
+        "('d', timestamp'2024-01-02', 'en', null) as t(id, ts, lang, topics)"
+    )
+    assert [r.id for r in scan_pending(rows).collect()] == ["b", "d", "a"]
+    assert [r.id for r in scan_pending(rows, 1).collect()] == ["b"]
+    assert scan_pending(rows, None).count() == 3
