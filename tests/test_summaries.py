@@ -1,0 +1,118 @@
+import html
+import re
+
+import pytest
+
+from docwatch.operators import summaries as sm
+
+REP = "cluster_id string, pos int, id string, title string, url string, text string"
+
+
+def clean(s):
+    s = re.sub(r"\s+", " ", html.unescape(s or "")).strip()
+    return re.sub("[​-‏﻿]", "", s)
+
+
+def reps(spark, *rows):
+    return spark.createDataFrame([(c, p, f"{c}{p}", t, u, b) for c, p, t, u, b in rows], REP)
+
+
+TITLES = [("c", 0, "First &amp; one", "https://www.news.example.org/a", "Body one."), ("c", 1, "Second", "http://gov:80/x", "Body two.")]
+
+
+def formatted(spark, raw, rows=TITLES, keep_lines=False):
+    facts = sm.rep_facts(reps(spark, *rows))
+    texts = spark.createDataFrame([("c", raw)], "cluster_id string, raw string")
+    return sm.format_summaries(texts, facts, keep_lines).first().summary
+
+
+FALLBACK = "First & one, Second, Example, Gov:80"
+
+
+@pytest.mark.parametrize(
+    "raw, bullets, entities",
+    [
+        # inline dashes; the entities of a joined text stay in the last bullet
+        ("- one\n- two\n- three\nEntities: A, B", ["one", "two", "three Entities: A, B"], FALLBACK),
+        ("one - two - three - four", ["one", "two", "three"], FALLBACK),
+        # a text that is nothing but entities
+        ("Entities: A, B", ["First & one", "Second", "Second"], "A, B"),
+        ("entities :", ["First & one", "Second", "Second"], "—"),
+        # one marked bullet, filled up with titles
+        ("• only", ["only", "First & one", "Second"], FALLBACK),
+        ("— dash stays", ["— dash stays", "First & one", "Second"], FALLBACK),
+        # sentences
+        ("One here. Two there! Three? Four.", ["One here.", "Two there!", "Three?"], FALLBACK),
+        ("Second", ["Second", "First & one", "First & one"], FALLBACK),
+        ("", ["First & one", "Second", "Second"], FALLBACK),
+        (None, ["First & one", "Second", "Second"], FALLBACK),
+        # escaped twice
+        ("a &amp;lt; b - c", ["a < b", "c", "First & one"], FALLBACK),
+    ],
+)
+def test_format(spark, raw, bullets, entities):
+    expected = "- " + "\n- ".join(bullets) + f"\nEntities: {entities}"
+    assert formatted(spark, raw) == expected
+
+
+def test_format_by_line(spark):
+    got = formatted(spark, "- one\n- two  x\n-\n- three\nEntities: A, B", keep_lines=True)
+    assert got == "- one\n- two x\n- three\nEntities: A, B"
+
+
+def test_format_without_titles(spark):
+    got = formatted(spark, "", [("c", 0, "", None, "")])
+    assert got == "- No substantive content\n- Source too short\n- Will summarize later\nEntities: —"
+
+
+def test_context(spark):
+    rows = reps(
+        spark,
+        ("c", 1, "T2", None, None),
+        ("c", 0, " T\n1 ", " http://u ", "b  &lt; c"),
+        ("c", 2, "", "", ""),
+        ("d", 0, None, None, "x" * 9000),
+        ("e", 0, "", " ", ""),
+    )
+    got = {r.cluster_id: r.context for r in sm.cluster_context(rows).collect()}
+    assert got["c"] == "Title: T 1\nURL: http://u\nb < c\n\n---\n\nTitle: T2"
+    assert got["d"] == "x" * 6500
+    assert got["e"] == ""
+
+
+def test_extractive_picks_rare_words_in_order(spark):
+    contexts = spark.createDataFrame(
+        [
+            ("c", "Title: Common words here\nURL: http://u.org\nCommon words. Zebra quartz! Common words here. Violet oxide? "
+                  "Amber falcon."),
+            ("d", "Common words here again."),
+        ],
+        "cluster_id string, context string",
+    )
+    got = {r.cluster_id: r.raw for r in sm.extractive_summary(contexts).collect()}
+    assert got["c"] == "- Zebra quartz!\n- Violet oxide?\n- Amber falcon."
+    assert got["d"] == "- Common words here again."
+
+
+def test_bullets_have_sixty_words_at_most(spark):
+    contexts = spark.createDataFrame([("c", " ".join(f"word{i}" for i in range(100)))], "cluster_id string, context string")
+    assert len(sm.extractive_summary(contexts).first().raw.split()) == 61
+
+
+def test_whole_stage(spark):
+    clusters = spark.sql(
+        "select * from values ('c', 't', 3, cast(5 as float), cast(null as string), array('1', '2')),"
+        "('gone', 't', 3, cast(4 as float), 'kept?', array('9')), ('low', 't', 3, cast(null as float), 'kept', array('1'))"
+        " as t(cluster_id, topic, size, score, summary, rep_item_ids)"
+    )
+    items = spark.createDataFrame(
+        [("1", "One", "https://a.org", "Alpha beta. Gamma delta."), ("2", "Two", None, "Epsilon zeta.")],
+        "id string, title string, url string, text string",
+    )
+    got = {r.cluster_id: r.summary for r in sm.summarize(clusters, items, limit=2).collect()}
+    assert got["c"].count("\n") == 3 and got["c"].endswith("Entities: One, Two, A")
+    assert got["gone"] == "- No substantive content\n- Source too short\n- Will summarize later\nEntities: —"
+    assert got["low"] == "kept"
+    raw = spark.createDataFrame([("other", "x")], "cluster_id string, raw string")
+    failed = {r.cluster_id: r.summary for r in sm.summarize(clusters, items, raw, limit=2).collect()}
+    assert failed["c"] == sm.FAILED
