@@ -331,6 +331,14 @@ def enrich(spark, sf_dir):
     return done.select("id", "lang", rounded("lang_conf", 4), joined("topics"), joined("keywords"))
 
 
+@query
+def enrich_batch(spark, sf_dir):
+    """The stage as it runs by default: the newest 2,000 pending rows, no vectors."""
+    rows = fx.plain_items(spark, sf_dir)
+    done = stages.enrich(rows, fx.BOOK)
+    return done.select("id", "lang", joined("topics"), joined("keywords"))
+
+
 # ---- language ---------------------------------------------------------------
 
 

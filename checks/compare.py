@@ -53,6 +53,10 @@ def _plain(value) -> str:
 def difference(ours: pd.DataFrame, theirs: pd.DataFrame) -> str | None:
     if sorted(ours.columns) != sorted(theirs.columns):
         return f"columns {sorted(ours.columns)} != {sorted(theirs.columns)}"
+    kinds = {c: (ours[c].dtype.kind, theirs[c].dtype.kind) for c in ours.columns if len(ours)}
+    unlike = {c: k for c, k in kinds.items() if k[0] != k[1]}
+    if unlike:
+        return f"types {unlike}"
     if len(ours) != len(theirs):
         return f"rows {len(ours)} != {len(theirs)}"
     a, b = canonical(ours), canonical(theirs)

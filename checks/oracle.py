@@ -176,6 +176,16 @@ def _tagging() -> dict[str, str]:
                 CASE WHEN true_lang = 'en' THEN '' ELSE {joined('terms')} END AS keywords
                 FROM evidence LEFT JOIN near USING (id) JOIN languages USING (id)""",
         ),
+        "enrich_batch": with_items(
+            *EVIDENCE,
+            *_languages(),
+            "newest AS (SELECT id FROM items ORDER BY ts DESC, id LIMIT 2000)",
+            body=f"""SELECT e.id, CASE WHEN n.id IS NOT NULL THEN lang END AS lang,
+                CASE WHEN n.id IS NULL THEN {joined('topics')}
+                     ELSE {joined('list_filter(kw, lambda x: NOT list_contains(neg, x))')} END AS topics,
+                CASE WHEN n.id IS NULL THEN '' ELSE {joined('terms')} END AS keywords
+                FROM evidence e JOIN languages USING (id) LEFT JOIN newest n ON n.id = e.id""",
+        ),
         "stream_tagged": with_items(
             *EVIDENCE,
             *_languages(),
@@ -190,6 +200,16 @@ def _tagging() -> dict[str, str]:
             body="""SELECT window_start, topic, count(*) AS n FROM spans
                 WHERE ts < window_start + 129600 GROUP BY window_start, topic""",
         ),
+        "stream_topic_counts_appended": with_items(
+            *EVIDENCE,
+            """tagged AS (SELECT ts, unnest(list_filter(kw, lambda x: NOT list_contains(neg, x))) AS topic,
+                ts // 86400 * 86400 AS day FROM evidence)""",
+            "spans AS (SELECT ts, topic, unnest([day, day - 86400]) AS window_start FROM tagged)",
+            body="""SELECT window_start, topic, count(*) AS n FROM spans
+                WHERE ts < window_start + 129600
+                  AND window_start + 129600 <= (SELECT max(ts) FROM items) - 129600
+                GROUP BY window_start, topic""",
+        ),
     }
 
 
@@ -428,9 +448,9 @@ def _clustering() -> dict[str, str]:
                 UNION ALL SELECT 'items', count(*) FROM items
                 UNION ALL SELECT 'items with language', count(*) FROM items
                 UNION ALL SELECT 'items with topics', count(*) FROM items WHERE len(topics) > 0
-                UNION ALL SELECT 'items in clusters', sum(size) FROM fresh
+                UNION ALL SELECT 'items in clusters', CAST(sum(size) AS BIGINT) FROM fresh
                 UNION ALL SELECT 'clusters', count(*) FROM fresh
-                UNION ALL SELECT 'digest rows', sum(least(n, 8)) FROM (SELECT topic, count(*) AS n,
+                UNION ALL SELECT 'digest rows', CAST(sum(least(n, 8)) AS BIGINT) FROM (SELECT topic, count(*) AS n,
                     max(end_ts) AS e FROM fresh GROUP BY topic) WHERE e >= {AS_OF} - 36 * 3600""",
         ),
     }
@@ -615,6 +635,39 @@ def _linked(url: str) -> list[str]:
     ]
 
 
+def _escaped(x: str) -> str:
+    for char, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
+        x = f"replace({x}, '{char}', '{entity}')"
+    return x
+
+
+_HTML = [
+    f"""shown AS (SELECT topic, rank, concat_ws(chr(10), '<h3>' || rank || ') Summary</h3>',
+        CASE WHEN len(bullets) > 0 THEN '<ul>' || array_to_string(list_transform(bullets,
+            lambda b: '<li>' || {_escaped(clean('b'))} || '</li>'), '') || '</ul>'
+            ELSE '<p>(no summary available)</p>' END,
+        CASE WHEN entities <> '' THEN '<p><b>Entities:</b> ' || {_escaped('entities')} || '</p>' END,
+        '<p><b>Tone:</b> ' || tone || '</p>',
+        CASE WHEN n_items > 0 THEN '<p><b>Links:</b></p><ul>' || coalesce(array_to_string(anchored, ''), '') || '</ul>'
+            ELSE '<p><b>Links:</b> (none)</p>' END) AS html
+        FROM top JOIN split_done USING (cluster_id) JOIN tones USING (cluster_id)
+        LEFT JOIN found USING (cluster_id) LEFT JOIN (SELECT cluster_id, list('<li><a href="' || {_escaped('url')} || '">'
+            || {_escaped('title')} || '</a></li>' ORDER BY pos) AS anchored FROM links GROUP BY cluster_id)
+            USING (cluster_id))""",
+    "ranked AS (SELECT topic, total, row_number() OVER (ORDER BY total DESC, topic) AS section FROM counts)",
+    f"""report AS (
+        SELECT NULL AS topic, 0 AS section, '<!DOCTYPE html>' || chr(10) ||
+            '<html lang="en"><head><meta charset="utf-8"><title>Daily Monitoring Digest</title></head><body>' || chr(10)
+            || '<h1>Daily Monitoring Digest — 31.Jan.2024 00:00 (UTC)</h1>' || chr(10)
+            || '<p><b>Topic counts (last 24–36h buffer):</b> '
+            || string_agg({_escaped('topic')} || ': ' || total, ', ' ORDER BY section) || '</p>' AS html FROM ranked
+        UNION ALL SELECT topic, section, '<h2>' || {_escaped('topic')} || ' (up to 8 clusters)</h2>' || chr(10)
+            || string_agg('<div>' || html || '</div>', chr(10) ORDER BY rank)
+            FROM ranked JOIN shown USING (topic) GROUP BY topic, section
+        UNION ALL SELECT NULL, 2147483647, '</body></html>')""",
+]
+
+
 def _digest() -> dict[str, str]:
     marked = "replace(url, 'example.org', 'europa.eu')"
     return {
@@ -629,6 +682,13 @@ def _digest() -> dict[str, str]:
         "cluster_links": with_items(
             DOC_CLUSTERS, *_linked("url")[:3], body="SELECT cluster_id, pos, title, url FROM links"
         ),
+        "digest_html": with_items(
+            DOC_CLUSTERS, _COUNTS, _TOP, *_SPLIT, *_linked(marked), *_HTML, body="SELECT topic, section, html FROM report"
+        ),
+        "write_digest": with_items(
+            DOC_CLUSTERS, _COUNTS, _TOP, *_SPLIT, *_linked(marked), *_HTML,
+            body="SELECT unnest(string_split(html, chr(10))) AS value FROM report",
+        ),
         "digest_table": with_items(
             DOC_CLUSTERS, _COUNTS, _TOP, *_SPLIT, *_linked(marked),
             body=f"""SELECT topic, CAST(total AS BIGINT) AS topic_total, rank, cluster_id, size,

@@ -21,9 +21,13 @@ def since(as_of: datetime, hours: int = LOOKBACK_HOURS) -> Column:
     return instant(as_of) - F.expr(f"INTERVAL '{int(hours)}' HOUR")
 
 
+def is_pending() -> Column:
+    return F.col("lang").isNull() | F.col("topics").isNull()
+
+
 def scan_pending(items: DataFrame, limit: int | None = PENDING_LIMIT) -> DataFrame:
     """Items still to enrich, newest first; ``limit=None`` takes all of them."""
-    pending = items.filter(F.col("lang").isNull() | F.col("topics").isNull())
+    pending = items.filter(is_pending())
     if limit is None:
         return pending
     return pending.orderBy(F.col("ts").desc(), "id").limit(limit)

@@ -179,9 +179,15 @@ def exclude_topics(items: DataFrame, book: Dictionary) -> DataFrame:
     return texts.select("id", excluded_topics(F.col("match_text"), book).alias("excluded"))
 
 
-def text_evidence(items: DataFrame, book: Dictionary, min_hits: int = 1) -> DataFrame:
-    """What the text alone says: ``id, topics, keywords, negatives, has_text``."""
-    texts = with_match_texts(items.select("id", "title", "text"))
+def text_evidence(
+    items: DataFrame, book: Dictionary, min_hits: int = 1, keep: Sequence[str] = ()
+) -> DataFrame:
+    """What the text alone says: ``id, topics, keywords, negatives, has_text``.
+
+    ``keep`` names further columns of ``items`` to carry along.
+    """
+    needed = dict.fromkeys(["id", "title", "text", *keep])
+    texts = with_match_texts(items.select(*needed))
     tagged = texts.withColumn("topics", keyword_topics(F.col("match_text"), book, min_hits))
     leet = F.col("leet_text")
     return tagged.select(
@@ -190,6 +196,7 @@ def text_evidence(items: DataFrame, book: Dictionary, min_hits: int = 1) -> Data
         matched_terms(leet, F.col("topics"), book).alias("keywords"),
         negative_topics(leet, book).alias("negatives"),
         (leet != "").alias("has_text"),
+        *[c for c in keep if c != "id"],
     )
 
 
@@ -270,17 +277,20 @@ def tag_hybrid(
     method: str = "hybrid",
     threshold: float = EMBED_THRESHOLD,
     min_hits: int = 1,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """``id, topics, keywords``: (keywords + vectors) minus weak negatives.
 
     Keywords count for every method; vectors for ``hybrid`` and ``embedding``.
+    Without vectors nothing is shuffled. ``keep`` names columns to carry along.
     """
     if method not in METHODS:
         raise ValueError(f"method must be one of {METHODS}")
-    evidence = text_evidence(items, book, min_hits)
+    evidence = text_evidence(items, book, min_hits, keep)
+    kept = [c for c in keep if c != "id"]
     none = F.array().cast("array<string>")
     if method == "keywords" or vectors is None or anchors is None:
-        return evidence.select("id", _without_weak("topics", F.col("negatives"), none), "keywords")
+        return evidence.select("id", _without_weak("topics", F.col("negatives"), none), "keywords", *kept)
     near = near_topics(vectors, anchors, threshold, book.names)
     joined = evidence.join(near, "id", "left")
     labels = F.sort_array(
@@ -289,4 +299,5 @@ def tag_hybrid(
     known = joined.withColumns(
         {"near": F.coalesce("near", none), "strong": F.coalesce("strong", none)}
     ).withColumn("topics", labels)
-    return known.select("id", _without_weak("topics", F.col("negatives"), F.col("strong")), "keywords")
+    weak_out = _without_weak("topics", F.col("negatives"), F.col("strong"))
+    return known.select("id", weak_out, "keywords", *kept)

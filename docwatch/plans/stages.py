@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
@@ -21,6 +22,7 @@ from docwatch.operators.tables import (
     PENDING_LIMIT,
     clusters_upsert,
     enrich_update,
+    is_pending,
     items_insert,
     scan_pending,
     scan_recent,
@@ -44,12 +46,13 @@ def enriched_rows(
     anchors: DataFrame | None = None,
     method: str = "hybrid",
     threshold: float = EMBED_THRESHOLD,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """``id, lang, lang_conf, topics, keywords`` of the pending items."""
-    texts = with_language(pending.select("id", "title", "text"), item_text())
-    languages = texts.select("id", "lang", "lang_conf")
-    tags = tag_hybrid(pending, book, vectors, anchors, method, threshold)
-    return tags.join(languages, "id")
+    needed = dict.fromkeys(["id", "title", "text", *keep])
+    guessed = with_language(pending.select(*needed), item_text())
+    kept = [*keep, "lang", "lang_conf"]
+    return tag_hybrid(guessed, book, vectors, anchors, method, threshold, keep=kept)
 
 
 def enrich(
@@ -61,9 +64,20 @@ def enrich(
     threshold: float = EMBED_THRESHOLD,
     limit: int | None = PENDING_LIMIT,
 ) -> DataFrame:
-    """The items table with language and topics set on pending rows."""
-    pending = scan_pending(items, limit)
-    return enrich_update(items, enriched_rows(pending, book, vectors, anchors, method, threshold))
+    """The items table with language and topics set on pending rows.
+
+    With a limit, the newest pending rows are worked on and written back by id.
+    Without one, every row is either pending or done, so the two parts are put
+    side by side and no text is joined back.
+    """
+    args = (book, vectors, anchors, method, threshold)
+    if limit is not None:
+        return enrich_update(items, enriched_rows(scan_pending(items, limit), *args))
+    fields = ("lang", "lang_conf", "topics", "keywords")
+    others = [c for c in items.columns if c not in fields]
+    fresh = enriched_rows(items.filter(is_pending()), *args, keep=others)
+    typed = fresh.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in items.schema.fields])
+    return items.filter(~is_pending()).unionByName(typed)
 
 
 @dataclass(frozen=True)
