@@ -16,7 +16,7 @@ from docwatch.operators import tables, tagging
 from docwatch.operators.kmeans import cluster_tfidf
 from docwatch.operators.linkage import cluster_embeddings, similarity_components
 from docwatch.plans import stages
-from docwatch.session import fresh_path, materialize
+from docwatch.session import fresh_path
 from docwatch.sources import config
 from docwatch.sources.feeds import read_feed_entries
 from docwatch.streaming import jobs
