@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docwatch.llm import exact_dedup, packing, quality_rules, sharding, substring_dedup, token_counts
+from docwatch.llm import exact_dedup, minhash, mixing, packing, quality_rules, sharding, substring_dedup, token_counts, url_filter
 from docwatch.session import fresh_path
 
 SHARDS = 16
@@ -17,6 +17,33 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+URL_RULES = [
+    url_filter.Rule("block", "net", "/"),
+    url_filter.Rule("allow", "example.net", "/en/"),
+    url_filter.Rule("block", "example.com", "/de/"),
+    url_filter.Rule("allow", "org", "/fr/"),
+]
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's URL judged by rules and, where none fits, by boosted trees.
+
+    A labelled URL is one whose page has a label; low quality or toxic is bad.
+    """
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    bad = ((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("int")
+    labelled = pages.join(labels.select(F.col("doc_id").alias("page_id"), bad.alias("bad")), "page_id")
+    judged = url_filter.judge_urls(pages, labelled.select("url", "bad"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict", "bad_score")
+
+
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to the sources' target shares; one row per document."""
+    mixed = mixing.mix(documents(spark, sf_dir))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies", "rate")
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base rules and cross-document line frequency; one row per document."""
     return quality_rules.judge(documents(spark, sf_dir))
@@ -37,6 +64,11 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.repeated_units(documents(spark, sf_dir))
 
 
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of near duplicates on sets of two-word shingles; one row per document."""
+    return minhash.near_groups(documents(spark, sf_dir), minhash.MinHash(width=2))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token totals after three batches: all inserts, revised counts, deleted copies.
 
@@ -86,7 +118,17 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op3_quality_rules, op4_exact_dedup, op5_packing, op6_substring_dedup, op9_token_counts, op10_sharding)
+    for f in (
+        op1_url_filter,
+        op2_mixing,
+        op3_quality_rules,
+        op4_exact_dedup,
+        op5_packing,
+        op6_substring_dedup,
+        op7_minhash,
+        op9_token_counts,
+        op10_sharding,
+    )
 }
 
 WORD_LIST = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
