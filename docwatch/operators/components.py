@@ -8,17 +8,26 @@ from pyspark.sql import functions as F
 from docwatch.session import materialize
 
 
+def _lowest(edges: DataFrame) -> DataFrame:
+    """The smallest neighbour of each ``u``, written.
+
+    As a table of its own its join has a shuffle on either side, so a node with
+    very many neighbours is one that adaptive execution can split.
+    """
+    return materialize(edges.groupBy("u").agg(F.min("v").alias("low")), "lowest")
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Hang every larger neighbour on the smallest node around."""
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    lowest = both.groupBy("u").agg(F.min("v").alias("low"))
+    lowest = _lowest(both)
     hung = both.filter(F.col("v") > F.col("u")).join(lowest, "u")
     return hung.select(F.col("v").alias("u"), F.least("u", "low").alias("v")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Hang every smaller neighbour, and the node itself, on the smallest one."""
-    lowest = edges.groupBy("u").agg(F.min("v").alias("low"))
+    lowest = _lowest(edges)
     moved = (
         edges.join(lowest, "u")
         .filter(F.col("v") != F.col("low"))
