@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docwatch.llm import exact_dedup, packing, quality_rules
+from docwatch.llm import exact_dedup, minhash, mixing, packing, quality_rules
 from docwatch.session import materialize
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -26,6 +26,16 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return exact_dedup.drop_copies(docs)
 
 
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: five-word shingles, similarity 0.8."""
+    return minhash.drop_near_copies(docs)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources brought to their target shares: documents repeated or left out."""
+    return mixing.mixed_documents(docs)
+
+
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of training sequences."""
     return packing.pack(docs, packing.public_encoder())
@@ -34,6 +44,8 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", good_documents),
     ("exact_dedup", without_copies),
+    ("minhash", without_near_copies),
+    ("mixing", mixed),
     ("packing", packed),
 ]
 

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docwatch.llm import exact_dedup, minhash, mixing, packing, quality_rules, sharding, substring_dedup, token_counts, url_filter
+from docwatch.llm import exact_dedup, maxent_lm, minhash, mixing, packing, quality_rules, sharding, substring_dedup
+from docwatch.llm import token_counts, url_filter
 from docwatch.session import fresh_path
 
 SHARDS = 16
@@ -69,6 +70,11 @@ def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_groups(documents(spark, sf_dir), minhash.MinHash(width=2))
 
 
+def op8_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of every text under the trained model and the unigram base."""
+    return maxent_lm.score_texts(documents(spark, sf_dir))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token totals after three batches: all inserts, revised counts, deleted copies.
 
@@ -126,6 +132,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_packing,
         op6_substring_dedup,
         op7_minhash,
+        op8_maxent_lm,
         op9_token_counts,
         op10_sharding,
     )
@@ -203,3 +210,29 @@ kept AS (SELECT min(doc_id) AS doc_id FROM d GROUP BY k)
 SELECT source, lang, 'words/1' AS tokenizer, count(*)::BIGINT AS docs, sum(n)::BIGINT AS tokens
 FROM d JOIN kept USING (doc_id) JOIN once USING (doc_id) GROUP BY source, lang
 """
+
+SQL["op7_minhash"] = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT r, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN w
+         ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s
+  FROM d),
+distinct_sets AS (SELECT list_sort(s) AS s, min(doc_id) AS node, len(any_value(s)) AS n FROM sets WHERE len(s) > 0 GROUP BY 1),
+items AS (SELECT node, n, unnest(s) AS x FROM distinct_sets),
+links AS (
+  SELECT a.node AS u, b.node AS v
+  FROM items a JOIN items b ON a.x = b.x AND a.node < b.node
+       AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  GROUP BY a.node, b.node, a.n, b.n
+  HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+both_ways AS (SELECT u, v FROM links UNION ALL SELECT v, u FROM links),
+reach AS (SELECT node, node AS seen FROM distinct_sets UNION SELECT reach.node, v FROM reach JOIN both_ways ON seen = u),
+parts AS (SELECT node, min(seen) AS component FROM reach GROUP BY node)
+SELECT sets.doc_id, len(s)::BIGINT AS n_shingles, coalesce(component, sets.doc_id) AS component_id,
+       coalesce(component, sets.doc_id) = sets.doc_id AS kept
+FROM sets LEFT JOIN distinct_sets ON list_sort(sets.s) = distinct_sets.s LEFT JOIN parts USING (node)
+"""
