@@ -232,7 +232,7 @@ links AS (
 both_ways AS (SELECT u, v FROM links UNION ALL SELECT v, u FROM links),
 reach AS (SELECT node, node AS seen FROM distinct_sets UNION SELECT reach.node, v FROM reach JOIN both_ways ON seen = u),
 parts AS (SELECT node, min(seen) AS component FROM reach GROUP BY node)
-SELECT sets.doc_id, len(s)::BIGINT AS n_shingles, coalesce(component, sets.doc_id) AS component_id,
+SELECT sets.doc_id, len(sets.s)::BIGINT AS n_shingles, coalesce(component, sets.doc_id) AS component_id,
        coalesce(component, sets.doc_id) = sets.doc_id AS kept
 FROM sets LEFT JOIN distinct_sets ON list_sort(sets.s) = distinct_sets.s LEFT JOIN parts USING (node)
 """
