@@ -75,7 +75,8 @@ def read_feed_entries_(spark, sf_dir):
 def _source_tables(spark, sf_dir):
     pages = fx.table(spark, sf_dir, "pages")
     scheme = F.when(F.col("page_id") % 9 == 0, F.replace("url", F.lit("http"), F.lit("ftp"))).otherwise(F.col("url"))
-    rss = pages.select(F.col("page_id").alias("ord"), scheme.alias("url"))
+    padded = F.when(F.col("page_id") % 10 == 1, F.concat(F.lit(" "), scheme, F.lit("\n"))).otherwise(scheme)
+    rss = pages.select(F.col("page_id").alias("ord"), padded.alias("url"))
     docs = fx.table(spark, sf_dir, "documents")
     kind = F.when(F.col("lang") == "en", "subs").when(F.col("lang") == "de", "search_rss").otherwise("per_sub_search")
     nested = docs.select(
@@ -117,7 +118,7 @@ def items_insert(spark, sf_dir):
 def scan_pending(spark, sf_dir):
     rows = fx.items(spark, sf_dir)
     partly = rows.withColumn("lang", F.when(F.col("true_lang") == "en", F.col("true_lang")))
-    return tables.scan_pending(partly).select("id", epoch("ts"), "title")
+    return tables.scan_pending(partly, limit=2000).select("id", epoch("ts"), "title")
 
 
 @query
@@ -197,13 +198,12 @@ def check_clusters(spark, sf_dir):
 def _raw_terms(spark, sf_dir):
     docs = fx.table(spark, sf_dir, "documents")
     kinds = F.array(*[F.lit(k) for k in config.TERM_KINDS])
-    word = F.element_at(F.split("text", " "), 1)
     raw = docs.select(
         F.concat(F.lit(" "), "source", F.lit(" ")).alias("topic"),
         F.get(kinds, (F.col("n_chars") % 4).cast("int")).alias("kind"),
         F.col("doc_id").cast("int").alias("ord"),
         F.when(F.col("n_chars") % 31 == 0, F.lit("  "))
-        .otherwise(F.concat(F.lit("\t"), F.lower(word), F.lit(" ")))
+        .otherwise(F.concat(F.lit("\t"), F.lower("text"), F.lit(" ")))
         .alias("term"),
     )
     topics = docs.filter(F.col("lang") == "es").select(F.col("source").alias("topic"))
@@ -333,9 +333,9 @@ def enrich(spark, sf_dir):
 
 @query
 def enrich_batch(spark, sf_dir):
-    """The stage as it runs by default: the newest 2,000 pending rows, no vectors."""
+    """The stage with its limit, whose feature it is to work on the newest pending rows."""
     rows = fx.plain_items(spark, sf_dir)
-    done = stages.enrich(rows, fx.BOOK)
+    done = stages.enrich(rows, fx.BOOK, limit=2000)
     return done.select("id", "lang", joined("topics"), joined("keywords"))
 
 
@@ -379,10 +379,7 @@ def df_prune(spark, sf_dir):
 
 @query
 def tfidf(spark, sf_dir):
-    docs = _all_docs(spark, sf_dir)
-    counts, n = features.terms_ngrams(docs), docs.count()
-    weights = features.tfidf(counts, features.df_prune(counts, n), n)
-    return weights.select("id", "term", rounded("weight"))
+    return features.tfidf_of(_all_docs(spark, sf_dir)).select("id", "term", rounded("weight"))
 
 
 @query
@@ -545,10 +542,11 @@ def write_digest(spark, sf_dir):
 def _run(spark, sf_dir) -> stages.Run:
     rows = fx.plain_items(spark, sf_dir)
     stored = fx.stored_clusters(spark, sf_dir)
+    settings = stages.Settings(hours=24 * 31, keep_hours=24 * 25, report_folder=fresh_path(spark, "run-report"))
     return stages.run_stages(
-        rows.filter(F.lit(False)), stored.filter(F.lit(False)), fx.AS_OF, fx.BOOK,
+        rows, stored, fx.AS_OF, fx.BOOK, settings=settings,
         entries=fx.feed_entries(spark, sf_dir), pages=fx.table(spark, sf_dir, "pages").select("url", "html"),
-        hours=24 * 31,
+        vectors=fx.vectors(spark, sf_dir), anchors=fx.anchors(spark, sf_dir),
     )
 
 
@@ -590,8 +588,12 @@ def _drain(stream: DataFrame, name: str) -> DataFrame:
 
 @query
 def stream_items(spark, sf_dir):
+    """Both dialects, dealt over several micro-batches into the stored table."""
     feeds = _landed_feeds(spark, sf_dir)
-    rows = _drain(jobs.stream_items(spark, f"{feeds}/dialect=rss", fx.AS_OF), "stream-items")
+    arrivals = jobs.stream_items(spark, feeds, fx.AS_OF, files_per_batch=8)
+    table = fresh_path(spark, "stream-items")
+    jobs.store_new_items(arrivals, table, fresh_path(spark, "stream-items-state")).awaitTermination()
+    rows = jobs.stored_items(spark, table, arrivals.schema)
     return rows.select("id", "url", epoch("ts"), "title", "text")
 
 

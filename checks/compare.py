@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import sys
 import time
 from pathlib import Path
@@ -27,6 +28,7 @@ def local_session(cores: int = 8) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
 
@@ -70,7 +72,7 @@ def difference(ours: pd.DataFrame, theirs: pd.DataFrame) -> str | None:
 
 
 def main(sf: str, names: list[str]) -> int:
-    spark, con = local_session(), database(sf)
+    spark, con = local_session(int(os.environ.get("CHECK_CPUS", "8"))), database(sf)
     spark.sparkContext.setLogLevel("ERROR")
     failed = 0
     sql = all_sql()

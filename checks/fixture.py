@@ -34,6 +34,24 @@ LISTS = {
 BOOK = Dictionary.from_lists(TOPICS, LISTS)
 LINK_DISTANCE = 0.65
 
+# One spelling per date form that feeds use; the same moment in each, or its day.
+DATE_FORMS = (
+    "EEE, dd MMM yyyy HH:mm:ss '+0200'",
+    "dd MMM yyyy HH:mm:ss 'GMT'",
+    "yyyy-MM-dd'T'HH:mm:ss'Z'",
+    "EEE, d MMM yy HH:mm:ss 'GMT'",
+    "d MMM yyyy H:mm:ss 'EST'",
+    "yyyy-MM-dd'T'HH:mm'Z'",
+    "d MMMM yyyy HH:mm:ss '+0000 (UTC)'",
+    "EEE MMM d HH:mm:ss yyyy",
+    "yyyy-MM-dd",
+    "yyyy-MM",
+    "EEEE, dd-MMM-yy HH:mm:ss 'PDT'",
+    "yyyy-MM-dd'T'HH:mm:ss'+09:00'",
+    "EEE, dd MMM yyyy HH:mm 'UT'",
+    "yyyyMMdd'T'HHmmss'Z'",
+)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -58,7 +76,7 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("string").alias("lang"),
         F.lit(None).cast("float").alias("lang_conf"),
         F.left(first_line, F.lit(80)).alias("title"),
-        F.left("text", F.lit(8000)).alias("text"),
+        "text",
         F.create_map().cast("map<string,string>").alias("entities"),
         F.when(F.col("n_chars") >= 500, F.array("lang", "source")).otherwise(none).alias("topics"),
         none.alias("keywords"),
@@ -117,10 +135,10 @@ def fresh_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def document_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One cluster per document, with a summary made of its text."""
+    """One cluster per document, with a summary made of its whole text."""
     docs = table(spark, sf_dir, "documents")
     n = F.col("doc_id")
-    head = F.left("text", F.lit(400))
+    head = F.col("text")
     bullets = F.concat(F.lit("- "), F.replace(head, F.lit(". "), F.lit(".\n* ")))
     summary = (
         F.when(n % 5 == 0, F.concat(bullets, F.lit("\nEntities: "), "source"))
@@ -155,17 +173,15 @@ def feed_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     pages = table(spark, sf_dir, "pages").select(F.col("page_id").alias("doc_id"), "url")
     n, ts = F.col("doc_id"), item_ts(F.col("doc_id"))
-    published = (
-        F.when(n % 5 == 0, F.date_format(ts, "EEE, dd MMM yyyy HH:mm:ss '+0200'"))
-        .when(n % 5 == 1, F.date_format(ts, "dd MMM yyyy HH:mm:ss 'GMT'"))
-        .when(n % 5 == 2, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
-        .when(n % 5 == 3, F.lit("sometime"))
-    )
+    published = F.lit(None).cast("string")
+    for place, form in enumerate(DATE_FORMS):
+        published = F.when(n % 20 == place, F.date_format(ts, form)).otherwise(published)
+    published = F.when(n % 20 == len(DATE_FORMS), F.lit("sometime")).otherwise(published)
     first_line = F.split(F.col("text"), "\n", 2)[0]
     marked_up = F.concat(F.lit("<p>"), "text", F.lit("</p>"))
     contents = (
         F.when(n % 4 == 0, F.array(F.struct(marked_up.alias("value"))))
-        .when(n % 4 == 1, F.array(*[F.struct(F.left("text", F.lit(k)).alias("value")) for k in (20, 60)]))
+        .when(n % 4 == 1, F.array(F.struct(F.left("text", F.lit(20)).alias("value")), F.struct(F.col("text").alias("value"))))
         .otherwise(F.array().cast("array<struct<value:string>>"))
     )
     return docs.join(pages, "doc_id", "left").select(
@@ -175,12 +191,12 @@ def feed_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array(F.struct(F.lit("").alias("href")), F.struct(F.col("url").alias("href"))).alias("links"),
         F.when(n % 7 > 0, F.left(first_line, F.lit(80))).alias("title"),
         published.alias("published"),
-        F.when(n % 10 == 3, F.date_format(ts, "yyyy-MM-dd HH:mm:ss")).alias("updated"),
+        F.when(n % 20 >= len(DATE_FORMS), F.date_format(ts, "yyyy-MM-dd HH:mm:ss")).alias("updated"),
         F.lit(None).cast("string").alias("created"),
         contents.alias("content"),
-        F.struct(F.when(n % 4 == 1, F.left("text", F.lit(60))).alias("value")).alias("summary_detail"),
-        F.when(n % 8 == 2, F.concat(F.lit("  "), F.left("text", F.lit(200)))).alias("summary"),
-        F.when(n % 8 == 6, F.left("text", F.lit(50))).alias("description"),
+        F.struct(F.when(n % 4 == 1, F.col("text")).alias("value")).alias("summary_detail"),
+        F.when(n % 8 == 2, F.concat(F.lit("  "), F.col("text"))).alias("summary"),
+        F.when(n % 8 == 6, F.col("text")).alias("description"),
     )
 
 
@@ -199,7 +215,7 @@ def feed_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     url = F.concat(F.lit("https://"), "source", F.lit(".example.org/"), n.cast("string"))
     title = escaped(F.left(F.split(F.col("text"), "\n", 2)[0], F.lit(80)))
-    body = escaped(F.left("text", F.lit(500)))
+    body = escaped(F.col("text"))
     rss = F.concat(
         F.lit("<item>"), tag("title", title), tag("link", url),
         tag("guid", F.concat(F.lit("g"), n.cast("string"))),
@@ -236,7 +252,7 @@ def feed_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``cluster_id, raw``: one outside summary per conversation turn."""
     turns = table(spark, sf_dir, "conversations")
-    text, turn = F.left("text", F.lit(600)), F.col("turn") % 7
+    text, turn = F.col("text"), F.col("turn") % 7
     raw = (
         F.when(turn == 0, text)
         .when(turn == 1, F.concat(F.lit("- "), F.replace(text, F.lit(". "), F.lit("\n- ")), F.lit("\nEntities: A, B")))

@@ -59,7 +59,7 @@ def html_text(x: str) -> str:
 ITEMS = """items AS (
   SELECT CAST(doc_id AS VARCHAR) AS id, doc_id, source AS src, url,
          1704067200 + (doc_id * 1601951) % 2592000 AS ts,
-         left(split_part(text, chr(10), 1), 80) AS title, left(text, 8000) AS text,
+         left(split_part(text, chr(10), 1), 80) AS title, text,
          CASE WHEN n_chars >= 500 THEN [lang, source] ELSE [] END AS topics,
          lang AS true_lang, n_chars
   FROM documents LEFT JOIN pages ON page_id = doc_id)"""
@@ -223,7 +223,7 @@ def _languages() -> list[str]:
     pick = " ".join(f"WHEN {n} = {best} THEN '{n}'" for n in names)
     total = " + ".join(names)
     return [
-        f"tokens AS (SELECT id, {RAW} AS raw, regexp_extract_all(lower(left({RAW}, 4000)), '[{W}]+') AS tok FROM items)",
+        f"tokens AS (SELECT id, {RAW} AS raw, regexp_extract_all(lower({RAW}), '[{W}]+') AS tok FROM items)",
         f"hits AS (SELECT id, raw, {hits} FROM tokens)",
         f"""languages AS (SELECT id,
             CASE WHEN raw = '' THEN NULL WHEN {total} = 0 THEN 'und' ELSE CASE {pick} END END AS lang,
@@ -247,15 +247,15 @@ def _language() -> dict[str, str]:
 # ---- sources and tables -----------------------------------------------------
 
 _RSS = """rss AS (SELECT page_id AS ord,
-    CASE WHEN page_id % 9 = 0 THEN replace(url, 'http', 'ftp') ELSE url END AS url FROM pages)"""
+    CASE WHEN page_id % 9 = 0 THEN replace(url, 'http', 'ftp') ELSE url END AS url FROM pages)"""  # padding is trimmed
 _XML_ITEMS = """feeds AS (SELECT doc_id, source, right(source, 1) IN ('0', '2', '4', '6', '8') AS rss,
-    trim(left(split_part(text, chr(10), 1), 80)) AS title, trim(left(text, 500), E' \\n') AS body,
+    trim(left(split_part(text, chr(10), 1), 80)) AS title, trim(text, E' \\n') AS body,
     'https://' || source || '.example.org/' || doc_id AS url,
     TIMESTAMP '2024-01-01' + to_seconds((doc_id * 1601951) % 2592000) AS moment,
     1704067200 + (doc_id * 1601951) % 2592000 AS ts FROM documents)"""
 _TERMS = """raw AS (SELECT source AS topic, (['keyword', 'anchor', 'negative', 'exclude'])[n_chars % 4 + 1] AS kind,
     CAST(doc_id AS INT) AS ord, CASE WHEN n_chars % 31 = 0 THEN '  '
-    ELSE chr(9) || lower(string_split(text, ' ')[1]) || ' ' END AS term FROM documents),
+    ELSE chr(9) || lower(text) || ' ' END AS term FROM documents),
     topics AS (SELECT DISTINCT source AS topic FROM documents WHERE lang = 'es' AND source > 'src12')"""
 
 
@@ -266,8 +266,9 @@ def _tables() -> dict[str, str]:
             CASE WHEN rss THEN strftime(moment, '%a, %d %b %Y %H:%M:%S +0000') END AS published,
             CASE WHEN NOT rss THEN strftime(moment, '%Y-%m-%dT%H:%M:%SZ') END AS updated,
             body AS summary, CASE WHEN rss THEN 0 ELSE 2 END AS n_links, false AS is_corrupt FROM feeds""",
-        "stream_items": f"""WITH {_XML_ITEMS} SELECT sha256(concat_ws('|', url, nullif(title, ''), 'g' || doc_id)) AS id,
-            url, ts, title, body AS text FROM feeds WHERE rss""",
+        "stream_items": f"""WITH {_XML_ITEMS} SELECT
+            sha256(concat_ws('|', url, nullif(title, ''), CASE WHEN rss THEN 'g' ELSE 'a' END || doc_id)) AS id,
+            url, ts, title, body AS text FROM feeds""",
         "feed_sources": f"""WITH {_RSS}, nested AS (
               SELECT CASE lang WHEN 'en' THEN 1 WHEN 'de' THEN 2 ELSE 3 END AS part, doc_id AS ord,
                      CASE WHEN n_chars % 17 = 0 THEN '' ELSE 'reddit:' || source || '/' || lang END AS url FROM documents
@@ -344,16 +345,16 @@ def _text() -> dict[str, str]:
             CASE WHEN d.doc_id % 3 = 0 THEN 'urn:doc:' || d.doc_id END AS entry_id,
             CASE WHEN d.doc_id % 7 > 0 THEN left(split_part(d.text, chr(10), 1), 80) END AS title,
             CASE WHEN d.doc_id % 4 = 0 THEN {marked}
-                 WHEN d.doc_id % 4 = 1 AND length(left(d.text, 60)) >= 30 THEN nullif({strip('left(d.text, 60)')}, '')
+                 WHEN d.doc_id % 4 = 1 AND length(d.text) >= 30 THEN nullif({strip('d.text')}, '')
                  END AS inline,
             1704067200 + (d.doc_id * 1601951) % 2592000 AS moment
         FROM documents d LEFT JOIN pages ON page_id = d.doc_id)"""
     # only a link that is the page's own address finds the landed page
     bodies = f"""bodies AS (SELECT e.*, CASE WHEN inline IS NULL THEN {page.replace('html', 'p.html')} END AS page_text
         FROM entries e LEFT JOIN pages p ON p.url = e.url)"""
-    whole = f"""whole AS (SELECT *, left(coalesce(inline, page_text, {strip(
-        "coalesce(CASE WHEN n % 8 = 2 THEN '  ' || left(text, 200) WHEN n % 8 = 6 THEN left(text, 50) END, '')"
-        )}), 8000) AS body FROM bodies)"""
+    whole = f"""whole AS (SELECT *, coalesce(inline, page_text, {strip(
+        "coalesce(CASE WHEN n % 8 IN (2, 6) THEN text END, '')"
+        )}) AS body FROM bodies)"""
     return {
         "html_to_text": f"SELECT page_id, {html_text('html')} AS text FROM pages",
         "strip_html_tags": f"SELECT page_id, {plain} AS text FROM pages",
@@ -366,8 +367,10 @@ def _text() -> dict[str, str]:
         ),
         "entries_to_items": f"""WITH {entries}, {bodies}, {whole}
             SELECT sha256(coalesce(nullif(concat_ws('|', nullif(url, ''), nullif(title, ''), entry_id), ''), body)) AS id,
-                'rss' AS src, url, CASE n % 5 WHEN 0 THEN moment - 7200 WHEN 1 THEN moment WHEN 2 THEN moment
-                    ELSE CASE WHEN n % 10 = 3 THEN moment ELSE {AS_OF} END END AS ts,
+                'rss' AS src, url, CASE n % 20 WHEN 0 THEN moment - 7200 WHEN 4 THEN moment + 5 * 3600
+                    WHEN 5 THEN moment // 60 * 60 WHEN 8 THEN moment // 86400 * 86400 WHEN 9 THEN 1704067200
+                    WHEN 10 THEN moment + 7 * 3600 WHEN 11 THEN moment - 9 * 3600 WHEN 12 THEN moment // 60 * 60
+                    ELSE moment END AS ts,
                 coalesce(title, '') AS title, body AS text FROM whole""",
     }
 
@@ -375,7 +378,7 @@ def _text() -> dict[str, str]:
 # ---- clustering -------------------------------------------------------------
 
 _TOKENS = [
-    "docs AS (SELECT id, left(concat_ws(' ', title, text), 2000) AS content FROM items)",
+    "docs AS (SELECT id, concat_ws(' ', title, text) AS content FROM items)",
     f"""words AS (SELECT id, list_filter(regexp_extract_all(lower(content), '[{W}]{{2,}}'),
         lambda t: NOT list_contains({listed(ENGLISH)}, t)) AS t FROM docs)""",
     """terms AS (SELECT id, unnest(list_concat(t,
@@ -389,12 +392,17 @@ _K = "CAST(CASE WHEN n_docs <= 8 THEN 2 ELSE greatest(2, least(round_even(sqrt(n
 
 
 def rollup(label: str, as_of: int, name: str, summary: str = "NULL") -> str:
-    return f"""{name} AS (SELECT label, md5(string_agg(id, '|' ORDER BY id)) AS cluster_id,
+    labelled = f"(SELECT id, ts, coalesce(topics[1], 'misc') AS topic, {label} AS label FROM items)"
+    return f"""{name}_parts AS (SELECT label, left(md5(id), 3) AS part, md5(string_agg(id, '|' ORDER BY id)) AS digest
+        FROM {labelled} GROUP BY label, left(md5(id), 3)),
+        {name}_ids AS (SELECT label, md5(string_agg(digest, '|' ORDER BY part)) AS cluster_id
+        FROM {name}_parts GROUP BY label),
+        {name} AS (SELECT label, any_value(cluster_id) AS cluster_id,
         list(topic ORDER BY ts, id)[1] AS topic, min(ts) AS start_ts, max(ts) AS end_ts, CAST(count(*) AS INT) AS size,
         CAST(count(*) + 2.0 / greatest(1.0, ({as_of} - max(ts)) / 3600.0) AS FLOAT) AS score,
         {summary.format(topic='list(topic ORDER BY ts, id)[1]')} AS summary,
         list(id ORDER BY ts DESC, id)[1:5] AS reps
-        FROM (SELECT id, ts, coalesce(topics[1], 'misc') AS topic, {label} AS label FROM items)
+        FROM {labelled} JOIN {name}_ids USING (label)
         GROUP BY label HAVING count(*) >= 3)"""
 
 
@@ -469,7 +477,7 @@ _CONTEXT = [
         CASE WHEN {clean('title')} <> '' THEN 'Title: ' || {clean('title')} END,
         CASE WHEN url <> '' THEN 'URL: ' || url END, nullif({clean('text')}, '')) AS block FROM reps)""",
     """contexts AS (SELECT cluster_id,
-        left(string_agg(block, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY pos), 6500) AS context
+        string_agg(block, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY pos) AS context
         FROM blocks GROUP BY cluster_id)""",
 ]
 _SENTENCES = [
@@ -489,7 +497,7 @@ _SENTENCES = [
         ORDER BY a, b) AS raw FROM best JOIN sentences USING (cluster_id, a, b) GROUP BY cluster_id)""",
 ]
 _TURNS = [
-    """turns AS (SELECT conv_id || '-' || turn AS cluster_id, conv_id, turn, left(text, 600) AS t FROM conversations)""",
+    """turns AS (SELECT conv_id || '-' || turn AS cluster_id, conv_id, turn, text AS t FROM conversations)""",
     """raws AS (SELECT cluster_id, CASE turn % 7 WHEN 0 THEN t
         WHEN 1 THEN '- ' || replace(t, '. ', chr(10) || '- ') || chr(10) || 'Entities: A, B'
         WHEN 2 THEN replace(t, '. ', ' - ') WHEN 3 THEN '' WHEN 4 THEN 'Entities: ' || t
@@ -589,7 +597,7 @@ def _summaries() -> dict[str, str]:
 
 # ---- digest -----------------------------------------------------------------
 
-DOC_CLUSTERS = """heads AS (SELECT *, left(text, 400) AS head FROM documents),
+DOC_CLUSTERS = """heads AS (SELECT *, text AS head FROM documents),
     clusters AS (SELECT CAST(doc_id AS VARCHAR) AS cluster_id, CASE WHEN doc_id % 3 = 0 THEN 'misc' ELSE lang END AS topic,
         CASE WHEN doc_id % 11 > 0 THEN 1704067200 + (doc_id * 1601951) % 2592000 END AS end_ts,
         CAST(n_chars % 97 + 1 AS INT) AS size,

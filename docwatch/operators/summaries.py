@@ -22,7 +22,6 @@ from docwatch.session import materialize
 
 # Fixed values of the summary format.
 TOP_CLUSTERS = 24
-CONTEXT_CHARS = 6500
 BULLETS = 3
 BULLET_WORDS = 60
 MAX_TITLES, MAX_HOSTS, MAX_ENTITIES = 3, 6, 6
@@ -57,8 +56,12 @@ def rep_items(clusters: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
-def cluster_context(reps: DataFrame) -> DataFrame:
-    """``cluster_id, context``: a bounded text made of the representatives."""
+def cluster_context(reps: DataFrame, context_chars: int | None = None) -> DataFrame:
+    """``cluster_id, context``: one text made of the representatives.
+
+    ``context_chars`` cuts it for an outside model with a window; the extractive
+    rule sees it whole.
+    """
 
     def labelled(name: str, value: Column) -> Column:
         return F.when(value != "", F.concat(F.lit(name), value))
@@ -79,7 +82,8 @@ def cluster_context(reps: DataFrame) -> DataFrame:
     blocks = cleaned.select("cluster_id", F.struct("pos", blank_to_null(block).alias("block")).alias("part"))
     parts = F.transform(F.sort_array(F.collect_list("part")), lambda p: p["block"])
     joined = F.concat_ws(BLOCK_BREAK, parts)
-    return blocks.groupBy("cluster_id").agg(F.left(joined, F.lit(CONTEXT_CHARS)).alias("context"))
+    whole = joined if context_chars is None else F.left(joined, F.lit(context_chars))
+    return blocks.groupBy("cluster_id").agg(whole.alias("context"))
 
 
 def _context_sentences(context: Column) -> Column:

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from docwatch.session import instant
 
 LOOKBACK_HOURS = 36
-PENDING_LIMIT = 2000
 
 
 def since(as_of: datetime, hours: int = LOOKBACK_HOURS) -> Column:
@@ -25,8 +24,8 @@ def is_pending() -> Column:
     return F.col("lang").isNull() | F.col("topics").isNull()
 
 
-def scan_pending(items: DataFrame, limit: int | None = PENDING_LIMIT) -> DataFrame:
-    """Items still to enrich, newest first; ``limit=None`` takes all of them."""
+def scan_pending(items: DataFrame, limit: int | None = None) -> DataFrame:
+    """Items still to enrich: all of them, or the newest ``limit``."""
     pending = items.filter(is_pending())
     if limit is None:
         return pending
@@ -49,30 +48,6 @@ def retain_recent(items: DataFrame, as_of: datetime, hours: int = LOOKBACK_HOURS
     return items.filter(F.col("ts") >= since(as_of, hours))
 
 
-def _first_per_key(rows: DataFrame, key: Column) -> DataFrame:
-    """The first row per key by (ts, id, then all columns).
-
-    A minimum combines before the shuffle, so a key that holds a large share of
-    the rows sends one row per input partition, not its whole group.
-    """
-    # maps can't be compared, so they travel as sorted entries
-    order = ["ts", "id"] + sorted(c for c in rows.columns if c not in ("ts", "id"))
-    maps = {f.name for f in rows.schema.fields if f.dataType.typeName() == "map"}
-
-    def comparable(c: str) -> Column:
-        return F.sort_array(F.map_entries(c)).alias(c) if c in maps else F.col(c)
-
-    first = rows.groupBy(key.alias("_key")).agg(
-        F.min(F.struct(*[comparable(c) for c in order])).alias("_row")
-    )
-    return first.select(
-        *[
-            F.map_from_entries(F.col("_row")[c]).alias(c) if c in maps else F.col("_row")[c].alias(c)
-            for c in rows.columns
-        ]
-    )
-
-
 def _url_key() -> Column:
     """The url, or a key of its own for rows without one (they never collide)."""
     return F.coalesce(
@@ -80,18 +55,31 @@ def _url_key() -> Column:
     )
 
 
+def _row_digest(rows: DataFrame) -> Column:
+    """A digest of the row's columns, in the order of their names."""
+    return F.md5(F.to_json(F.struct(*[F.col(c) for c in sorted(rows.columns)])))
+
+
 def new_items(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     """Incoming rows whose id and url are new, the first per id and per url.
 
-    The id is a hash that covers the url, so rows with one id share their url
-    and the two steps don't interfere.
+    First is the smallest ``(ts, id)``, then the smallest digest of the row. Winners
+    are found on ids, urls, times and digests alone; minima combine before each
+    shuffle, so a key with a large share of the rows costs a row per partition. The
+    rows themselves, with their texts, are shuffled once, by id. The id is a hash
+    that covers the url, so rows with one id share their url and the two steps don't
+    interfere.
     """
-    fresh = _first_per_key(incoming, F.col("id")).join(
-        existing.select("id"), "id", "left_anti"
-    )
-    taken = existing.filter(F.col("url").isNotNull()).select(_url_key().alias("_url_key"))
-    unseen = fresh.withColumn("_url_key", _url_key()).join(taken, "_url_key", "left_anti")
-    return _first_per_key(unseen.drop("_url_key"), _url_key())
+    marked = incoming.withColumn("_digest", _row_digest(incoming))
+    narrow = marked.select("id", _url_key().alias("url_key"), F.struct("ts", "id", "_digest").alias("rank"))
+    by_id = narrow.groupBy("id").agg(F.min(F.struct("rank", "url_key")).alias("first"))
+    fresh = by_id.join(existing.select("id"), "id", "left_anti").select("first.*")
+    taken = existing.filter(F.col("url").isNotNull()).select(_url_key().alias("url_key"))
+    unseen = fresh.join(taken, "url_key", "left_anti")
+    winners = unseen.groupBy("url_key").agg(F.min("rank").alias("rank"))
+    won = winners.select(F.col("rank.id").alias("id"), F.col("rank._digest").alias("_won"))
+    rows = marked.join(won, "id").filter(F.col("_digest") == F.col("_won"))
+    return rows.dropDuplicates(["id"]).select(incoming.columns)
 
 
 def items_insert(existing: DataFrame, incoming: DataFrame) -> DataFrame:

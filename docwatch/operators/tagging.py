@@ -236,9 +236,17 @@ def near_topics(
     threshold: float = EMBED_THRESHOLD,
     topics: Sequence[str] | None = None,
 ) -> DataFrame:
-    """``id, near, strong`` for items that reach the threshold for any topic."""
+    """``id, near, strong`` for items that reach the threshold for any topic.
+
+    An item with several vectors has the topics of all of them, in one row.
+    """
     known = anchors if topics is None else anchors.filter(F.col("topic").isin(list(topics)))
-    return groups_above(vectors, _anchor_groups(known), threshold, threshold + STRONG_MARGIN)
+    rows = groups_above(vectors, _anchor_groups(known), threshold, threshold + STRONG_MARGIN)
+
+    def union(name: str) -> Column:
+        return F.sort_array(F.array_distinct(F.flatten(F.collect_list(name)))).alias(name)
+
+    return rows.groupBy("id").agg(union("near"), union("strong"))
 
 
 def tag_embeddings(labels: DataFrame, near: DataFrame) -> DataFrame:

@@ -11,21 +11,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docwatch.operators.collect import entries_to_items
-from docwatch.operators.digest import digest_table
+from docwatch.operators.digest import TOP_PER_TOPIC, digest_html, digest_table, top_per_topic, topic_counts, write_digest
 from docwatch.operators.kmeans import cluster_tfidf
 from docwatch.operators.language import with_language
 from docwatch.operators.linkage import DISTANCE, cluster_embeddings
 from docwatch.operators.rollup import cluster_members, rollup_labels
-from docwatch.operators.summaries import summarize
+from docwatch.operators.summaries import summaries_for
 from docwatch.operators.tables import (
     LOOKBACK_HOURS,
-    PENDING_LIMIT,
     clusters_upsert,
     enrich_update,
     is_pending,
     items_insert,
+    retain_recent,
     scan_pending,
     scan_recent,
+    summary_update,
 )
 from docwatch.operators.tagging import EMBED_THRESHOLD, item_text, tag_hybrid
 from docwatch.session import materialize
@@ -46,13 +47,14 @@ def enriched_rows(
     anchors: DataFrame | None = None,
     method: str = "hybrid",
     threshold: float = EMBED_THRESHOLD,
+    min_hits: int = 1,
     keep: Sequence[str] = (),
 ) -> DataFrame:
     """``id, lang, lang_conf, topics, keywords`` of the pending items."""
     needed = dict.fromkeys(["id", "title", "text", *keep])
     guessed = with_language(pending.select(*needed), item_text())
     kept = [*keep, "lang", "lang_conf"]
-    return tag_hybrid(guessed, book, vectors, anchors, method, threshold, keep=kept)
+    return tag_hybrid(guessed, book, vectors, anchors, method, threshold, min_hits, keep=kept)
 
 
 def enrich(
@@ -62,7 +64,8 @@ def enrich(
     anchors: DataFrame | None = None,
     method: str = "hybrid",
     threshold: float = EMBED_THRESHOLD,
-    limit: int | None = PENDING_LIMIT,
+    limit: int | None = None,
+    min_hits: int = 1,
 ) -> DataFrame:
     """The items table with language and topics set on pending rows.
 
@@ -70,7 +73,7 @@ def enrich(
     Without one, every row is either pending or done, so the two parts are put
     side by side and no text is joined back.
     """
-    args = (book, vectors, anchors, method, threshold)
+    args = (book, vectors, anchors, method, threshold, min_hits)
     if limit is not None:
         return enrich_update(items, enriched_rows(scan_pending(items, limit), *args))
     fields = ("lang", "lang_conf", "topics", "keywords")
@@ -105,21 +108,51 @@ def cluster(
     else:
         labels = cluster_embeddings(vectors.join(recent.select("id"), "id", "left_semi"), distance)
     labels = materialize(labels, "labels")
-    rolled = materialize(rollup_labels(recent, labels, as_of, min_size=min_size), "rollup")
+    rolled = materialize(rollup_labels(recent, labels, as_of, min_size=min_size, hours=hours), "rollup")
     return Clustered(
         clusters_upsert(stored, rolled.drop("label")), cluster_members(rolled, labels)
     )
 
 
+@dataclass(frozen=True)
+class Settings:
+    """What a run may be told; each is passed to the stage it names."""
+
+    hours: int = LOOKBACK_HOURS
+    keep_hours: int | None = None  # older items leave the store first; None keeps all
+    enrich_limit: int | None = None
+    method: str = "hybrid"
+    threshold: float = EMBED_THRESHOLD
+    min_hits: int = 1
+    link_vectors: bool = False
+    distance: float = DISTANCE
+    min_size: int = 3
+    per_topic: int = TOP_PER_TOPIC
+    report_folder: str | None = None
+
+
 @dataclass(frozen=True)
 class Run:
-    """What one run leaves behind."""
+    """What one run leaves behind; ``report`` is the path of the written report, if any."""
 
     items: DataFrame
     clusters: DataFrame
     members: DataFrame
     digest: DataFrame
     stats: DataFrame
+    report: str | None = None
+
+
+def summarize_shown(
+    clusters: DataFrame,
+    items: DataFrame,
+    as_of: datetime,
+    per_topic: int = TOP_PER_TOPIC,
+    raw: DataFrame | None = None,
+) -> DataFrame:
+    """The clusters table with summaries of exactly the clusters that the report shows."""
+    shown = top_per_topic(clusters, topic_counts(clusters, as_of), per_topic)
+    return summary_update(clusters, summaries_for(materialize(shown.drop("rank"), "shown"), items, raw))
 
 
 def run_stages(
@@ -131,22 +164,29 @@ def run_stages(
     pages: DataFrame | None = None,
     vectors: DataFrame | None = None,
     anchors: DataFrame | None = None,
-    link_vectors: bool = False,
-    hours: int = LOOKBACK_HOURS,
-    enrich_limit: int | None = None,
+    raw_summaries: DataFrame | None = None,
+    settings: Settings = Settings(),
 ) -> Run:
     """All stages in order, each leaving a snapshot in the shared folder."""
-    before = items
+    s, before = settings, items
+    if s.keep_hours is not None:
+        items = retain_recent(items, as_of, s.keep_hours)
     if entries is not None:
         items = materialize(collect(items, entries, as_of, pages), "items")
-    tagged = materialize(enrich(items, book, vectors, anchors, limit=enrich_limit), "items-enriched")
-    grouped = cluster(tagged, clusters, as_of, vectors if link_vectors else None, hours)
-    stored = materialize(grouped.clusters, "clusters")
-    summed = materialize(summarize(stored, tagged), "clusters-summarised")
-    report = materialize(digest_table(summed, tagged, as_of), "digest")
-    return Run(
-        tagged, summed, grouped.members, report, run_stats(before, tagged, grouped.members, summed, report)
+    tags = enrich(items, book, vectors, anchors, s.method, s.threshold, s.enrich_limit, s.min_hits)
+    tagged = materialize(tags, "items-enriched")
+    grouped = cluster(
+        tagged, clusters, as_of, vectors if s.link_vectors else None, s.hours, s.distance, s.min_size
     )
+    stored = materialize(grouped.clusters, "clusters")
+    summed = materialize(summarize_shown(stored, tagged, as_of, s.per_topic, raw_summaries), "clusters-summarised")
+    report = materialize(digest_table(summed, tagged, as_of, s.per_topic), "digest")
+    path = None
+    if s.report_folder is not None:
+        html = digest_html(report, topic_counts(summed, as_of), as_of)
+        path = write_digest(html, s.report_folder, as_of)
+    stats = run_stats(before, tagged, grouped.members, summed, report)
+    return Run(tagged, summed, grouped.members, report, stats, path)
 
 
 def run_stats(

@@ -43,12 +43,15 @@ def is_http(url) -> F.Column:
 
 
 def only_http_sources(sources: DataFrame) -> DataFrame:
-    return sources.filter(is_http(F.col("url")))
+    """Sources with an http address, trimmed."""
+    trimmed = sources.withColumn("url", strip(F.col("url")))
+    return trimmed.filter(is_http(F.col("url")))
 
 
 def dropped_sources(sources: DataFrame) -> DataFrame:
     """The other side of :func:`only_http_sources`, for the report."""
-    return sources.filter(~is_http(F.col("url")))
+    trimmed = sources.withColumn("url", strip(F.col("url")))
+    return trimmed.filter(~is_http(F.col("url")))
 
 
 def build_terms(raw: DataFrame, topics: DataFrame) -> DataFrame:

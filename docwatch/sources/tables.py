@@ -5,15 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal a small input out to all cores.
-
-    A table in few small files is read by as few tasks, however many cores wait.
-    A large one has more splits than cores and is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spread(spark.read.parquet(path))
+    """A Parquet table; how many splits it has is a matter of the session's settings."""
+    return spark.read.parquet(path)

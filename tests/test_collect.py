@@ -28,6 +28,18 @@ def entries(spark, *rows):
         ("2025-09-16T17:26:05.250+02:00", datetime(2025, 9, 16, 15, 26, 5, 250000)),
         ("2025-09-16 17:26:05", datetime(2025, 9, 16, 17, 26, 5)),
         ("2025-09-16", datetime(2025, 9, 16)),
+        ("Mon, 16 Sep 24 10:00:00 GMT", datetime(2024, 9, 16, 10)),
+        ("Mon, 16 Sep 85 10:00:00 GMT", datetime(1985, 9, 16, 10)),
+        ("16 Sep 2024 9:05:00 GMT", datetime(2024, 9, 16, 9, 5)),
+        ("2024-09-16T10:00Z", datetime(2024, 9, 16, 10)),
+        ("16 September 2024 10:00:00 GMT", datetime(2024, 9, 16, 10)),
+        ("Mon, 16 Sep 2024 10:00:00 +0000 (UTC)", datetime(2024, 9, 16, 10)),
+        ("Mon Sep 16 10:00:00 2024", datetime(2024, 9, 16, 10)),
+        ("16 Sep 2024 10:00:00 EST", datetime(2024, 9, 16, 15)),
+        ("16 Jul 2024 10:00:00 PDT", datetime(2024, 7, 16, 17)),
+        ("2024-09", datetime(2024, 9, 1)),
+        ("31 Feb 2024 10:00:00 GMT", datetime(2024, 1, 31)),
+        ("16 Foo 2024 10:00:00 GMT", datetime(2024, 1, 31)),
         ("yesterday", datetime(2024, 1, 31)),
         (None, datetime(2024, 1, 31)),
     ],

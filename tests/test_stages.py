@@ -5,11 +5,11 @@ from docwatch.schema import CLUSTERS, ITEMS
 SF = "/root/testdata/sf0.001"
 
 
-def test_whole_run(spark, as_of):
+def test_whole_run(spark, as_of, tmp_path):
     entries = fx.feed_entries(spark, SF)
     run = stages.run_stages(
         spark.createDataFrame([], ITEMS), spark.createDataFrame([], CLUSTERS), as_of, fx.BOOK,
-        entries=entries, vectors=None, hours=24 * 31,
+        entries=entries, settings=stages.Settings(hours=24 * 31, report_folder=str(tmp_path)),
     )
     stats = {r.stat: r.value for r in run.stats.collect()}
     assert stats["items before"] == 0 and stats["items"] == run.items.select("id").distinct().count() > 0
@@ -18,7 +18,10 @@ def test_whole_run(spark, as_of):
     assert min(sizes.values()) >= 3
     members = run.members.collect()
     assert len({m.id for m in members}) == len(members) == sum(sizes.values())
-    assert run.clusters.filter("summary is null").count() == max(0, len(sizes) - 24)
+    # every cluster the report shows has its summary
+    shown = run.digest.join(run.clusters.select("cluster_id", "summary"), "cluster_id")
+    assert shown.filter("summary is null").count() == 0
+    assert "</html>" in "\n".join(r.value for r in spark.read.text(run.report).collect())
     # the next run over the same entries adds nothing
     again = stages.collect(run.items, entries, as_of)
     assert again.count() == run.items.count()
