@@ -406,6 +406,35 @@ def rollup(label: str, as_of: int, name: str, summary: str = "NULL") -> str:
         GROUP BY label HAVING count(*) >= 3)"""
 
 
+def _kmeans(rounds: int = 5) -> list[str]:
+    """CTEs of the fixed number of rounds; a finished run gives the same labels again."""
+    ctes = [
+        "keyed AS (SELECT id, md5(content) AS point FROM docs)",
+        "points AS (SELECT point, count(*) AS copies FROM keyed GROUP BY point)",
+        """raw AS (SELECT id, term, tf * (ln((1.0 + n) / (1.0 + df)) + 1.0) AS w FROM tf JOIN dfs USING (term), n)""",
+        "norms AS (SELECT id, sqrt(sum(w * w)) AS norm FROM raw GROUP BY id)",
+        """cells AS MATERIALIZED (SELECT point, term, any_value(w / norm) AS w
+            FROM raw JOIN norms USING (id) JOIN keyed USING (id) GROUP BY point, term)""",
+        """l0 AS MATERIALIZED (SELECT point, 1 AS copies, row_number() OVER (ORDER BY point) - 1 AS label
+            FROM (SELECT DISTINCT point FROM cells) ORDER BY point
+            LIMIT (SELECT CASE WHEN n <= 8 THEN 2 ELSE greatest(2, least(round_even(sqrt(n / 2), 0), 24)) END::INT FROM n))""",
+    ]
+    for i in range(rounds):
+        old = f" UNION ALL SELECT label, term, c FROM c{i - 1} WHERE label NOT IN (SELECT label FROM l{i})" if i else ""
+        ctes += [
+            f"""c{i} AS MATERIALIZED (SELECT label, term, sum(w * copies) / any_value(size) AS c
+                FROM cells JOIN l{i} USING (point)
+                JOIN (SELECT label, sum(copies) AS size FROM l{i} GROUP BY label) USING (label)
+                GROUP BY label, term{old})""",
+            f"""d{i} AS (SELECT point, label, sum(w * c) AS dot FROM cells JOIN c{i} USING (term) GROUP BY point, label)""",
+            f"""l{i + 1} AS MATERIALIZED (SELECT point, copies, arg_min(label, (-score, label)) AS label FROM (
+                SELECT point, copies, label, round(2 * coalesce(dot, 0) - length, 9) AS score
+                FROM points CROSS JOIN (SELECT label, sum(c * c) AS length FROM c{i} GROUP BY label)
+                LEFT JOIN d{i} USING (point, label)) GROUP BY point, copies)""",
+        ]
+    return ctes
+
+
 _FRESH_LABEL = "CASE WHEN length(src) = 4 THEN src || '-' || true_lang ELSE src END"
 STORED = rollup("src", EARLIER, "stored", "'- stored ' || {topic}")
 FRESH = rollup(_FRESH_LABEL, AS_OF, "fresh")
@@ -423,6 +452,9 @@ def _clustering() -> dict[str, str]:
             "norms AS (SELECT id, sqrt(sum(w * w)) AS norm FROM raw GROUP BY id)",
             body="SELECT id, term, round(w / norm, 6) AS weight FROM raw JOIN norms USING (id)",
         ),
+        "cluster_tfidf": with_items(
+            *_TOKENS, *_kmeans(), body="SELECT id, CAST(label AS INT) AS label FROM keyed JOIN l5 USING (point)"
+        ),
         "choose_k": f"""WITH parts AS (SELECT source AS part, count(*) AS n_docs FROM documents GROUP BY source
             UNION ALL SELECT 'all', count(*) FROM documents) SELECT part, n_docs, {_K} AS k FROM parts""",
         "similarity_components": """WITH RECURSIVE edges AS (
