@@ -1,3 +1,4 @@
+import os
 import sys
 from datetime import datetime, timezone
 from pathlib import Path
@@ -11,9 +12,10 @@ from pyspark.sql import functions as F  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = (
-        SparkSession.builder.master("local[8]")
+        SparkSession.builder.master(f"local[{os.environ.get('TEST_CPUS', '8')}]")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .appName("docwatch-tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
