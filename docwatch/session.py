@@ -40,7 +40,20 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table._shared_path = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables made by :func:`materialize` that nothing will read any more.
+
+    For rounds: once a round's result is written, the one before it can go.
+    """
+    for table in tables:
+        context = table.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(table._shared_path)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def instant(as_of: datetime) -> Column:
