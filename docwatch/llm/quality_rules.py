@@ -64,10 +64,12 @@ def with_text_counts(docs: DataFrame) -> DataFrame:
         F.length(F.array_join("_w", "")).cast("long").alias("word_chars"),
         (F.length(text) - F.length(F.regexp_replace(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
-        F.arrays_zip(*[shift(F.col("_w"), i).alias(f"w{i}") for i in range(WINDOW)]).alias("_spans"),
+        F.transform("_w", lambda x: F.xxhash64(x)).alias("_one"),
     )
-    inner = F.slice("_spans", 1, F.greatest(F.size("_spans") - WINDOW + 1, F.lit(0)))
-    rows = rows.withColumn("_hashes", F.transform(inner, lambda x: F.xxhash64(x)))
+    # spans of 2, 4 and 5 words from spans of 1, 2 and 4: a hash of two numbers each
+    rows = rows.withColumn("_two", _joined("_one", "_one", 1))
+    rows = rows.withColumn("_four", _joined("_two", "_two", 2))
+    rows = rows.withColumn("_hashes", _joined("_four", "_one", 4))
     repeats = F.size(F.array_distinct("_hashes")) < F.size("_hashes")
     placed = F.arrays_zip(
         F.col("_hashes").alias("h"), F.sequence(F.lit(0), F.size("_hashes") - 1).alias("at")
@@ -91,7 +93,13 @@ def with_text_counts(docs: DataFrame) -> DataFrame:
         lambda total, g: total + F.least(F.lit(WINDOW), F.coalesce(g["b"] - g["a"], F.lit(WINDOW))).cast("long"),
     )
     rows = rows.withColumn("n_repeat_words", F.when(F.col("_at").isNull(), F.lit(0).cast("long")).otherwise(covered))
-    return rows.drop("_w", "_lines", "_spans", "_hashes", "_sorted", "_at")
+    return rows.drop("_w", "_lines", "_one", "_two", "_four", "_hashes", "_sorted", "_at")
+
+
+def _joined(spans: str, following: str, by: int) -> Column:
+    """Hashes of each span together with what begins ``by`` words later."""
+    n = F.greatest(F.size(following) - by, F.lit(0))
+    return F.zip_with(F.slice(spans, 1, n), shift(F.col(following), by), lambda a, b: F.xxhash64(a, b))
 
 
 def base_failed(limits: Limits) -> Column:
@@ -176,7 +184,10 @@ def keep_good(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     lost = depleted_texts(docs, limits).filter(F.col("lost") > limits.lost_share)
     gone = materialize(lost.select(F.col("host").alias("_host"), F.col("text_key").alias("_key")), "depleted")
     narrow = with_text_counts(docs.select(F.struct("*").alias("_row"), "text"))
-    passed = narrow.filter(~base_failed(limits)).select("_row")
+    # the verdict as a generated column: a filter on it can't be pushed below the counts,
+    # where each of their arrays would be computed again and again
+    verdict = narrow.select("_row", F.explode_outer(F.array(base_failed(limits))).alias("_failed"))
+    passed = verdict.filter(~F.col("_failed")).select("_row")
     host = F.coalesce(F.col("_row.source"), F.lit(""))
     key = text_key(text_of(F.col("_row.text")))
     return passed.join(gone, (host == F.col("_host")) & (key == F.col("_key")), "left_anti").select("_row.*")
