@@ -134,6 +134,13 @@ def ts(hour):
     return datetime(2024, 1, 1, hour)
 
 
+def test_identical_arrivals_are_one_row(spark):
+    row = {"id": "1", "url": "u1", "ts": ts(1), "text": "x", "entities": {"k": "v"}}
+    same = item_rows(spark, row, row, {**row, "text": "y"})
+    assert items_insert(item_rows(spark), same).count() == 1
+    assert items_insert(item_rows(spark), same.limit(0)).count() == 0
+
+
 def test_insert_ignores_conflicts(spark):
     stored = item_rows(spark, {"id": "1", "url": "u1", "ts": ts(1), "text": "old"})
     arriving = item_rows(

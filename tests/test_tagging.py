@@ -118,6 +118,14 @@ def test_scores_without_anchors(spark):
     assert tagging.near_topics(vectors, none).count() == 0
 
 
+def test_repeated_vectors_give_one_row(spark):
+    items = spark.createDataFrame([("1", "none", "of the terms")], ITEM)
+    vectors = spark.createDataFrame([("1", [1.0, 0.0]), ("1", [0.0, 1.0]), ("1", [1.0, 0.0])], "id string, vec array<float>")
+    anchors = spark.createDataFrame([("a", 0, [1.0, 0.0]), ("b", 0, [0.0, 1.0])], "topic string, ord int, vec array<float>")
+    rows = tagging.tag_hybrid(items, BOOK, vectors, anchors).collect()
+    assert [(r.id, r.topics) for r in rows] == [("1", ["a", "b"])]
+
+
 def test_dictionary_needs_topics():
     with pytest.raises(ValueError):
         Dictionary.from_lists([" ", ""], {})
