@@ -1,19 +1,21 @@
 """Near duplicates by b-bit MinHash.
 
-1. A document's set of word shingles gives 256 minima. Bands of six minima are
+1. A document's set of word shingles gives 512 minima. Bands of six minima are
    hashed into keys; of each minimum only its two low bits are kept, packed as bit
    planes. Documents with equal sets are one node from here on.
 2. Documents that share a band key are candidates. In every band the members are
-   compared with the smallest id first; the share of equal low bits, corrected for
-   those that agree by chance, estimates the similarity, and only pairs far below
-   the limit are left out. What remains is confirmed on the full sets.
+   compared with one of them first, the one that meets most others over all bands;
+   the share of equal low bits, corrected for those that agree by chance, estimates
+   the similarity, and only pairs well below the limit are left out. What remains is
+   confirmed on the full sets.
 3. Confirmed links give components. Members of a band that are in different
-   components then meet each other, too, in the same two steps. So every pair that
-   shares a band is either inside a component or was tested, and a large group of
-   near copies costs a few pairs per member instead of all pairs.
+   components then meet each other, too: their bit planes are compared in blocks
+   inside the tasks; where they may reach the limit the full sets are fetched and
+   compared, and a task sends on a spanning forest of what it links. So every pair
+   that shares a band is either inside a component or was tested.
 
 Two sets of similarity 0.8 share none of the 42 bands with probability 3e-6, and
-miss the estimate's margin with less than 1e-9.
+miss the estimate's margin with 2e-6.
 
 Defined cases: null and empty texts have an empty set and are linked with nothing;
 a text with fewer words than a shingle has its whole sequence as one; rows that
@@ -44,12 +46,13 @@ class MinHash:
 
     width: int = 5
     percent: int = 80
-    minima: int = 256
+    minima: int = 512
     rows: int = 6
     bands: int = 42
-    margin: float = 0.2
+    margin: float = 0.1
     seed: int = 20240131
-    hub_rows: int = 20_000
+    hub_rows: int = 500
+    block_rows: int = 1024
 
 
 LOW_BITS = 2
@@ -167,10 +170,128 @@ def promising(pairs: DataFrame, sets: DataFrame, config: MinHash) -> DataFrame:
     return near.filter(estimate(F.col("pu"), F.col("pv"), config) >= config.percent / 100 - config.margin).select("u", "v")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, sets: DataFrame, config: MinHash) -> DataFrame:
+def equal_bits(one: np.ndarray, others: np.ndarray, config: MinHash) -> np.ndarray:
+    """The estimate for one row of planes against many."""
+    words = config.minima // 64
+    apart = (one[:words] ^ others[:, :words]) | (one[words:] ^ others[:, words:])
+    equal = 1.0 - np.bitwise_count(apart).sum(axis=1) / config.minima
+    chance = 2.0**-LOW_BITS
+    return (equal - chance) / (1.0 - chance)
+
+
+def _lots(rows: DataFrame, sets: DataFrame, config: MinHash) -> DataFrame:
+    """``rows(key, n, node, component)`` with sizes and bit planes, a lot ``key, a, b`` per two blocks.
+
+    A key with many rows is cut into blocks of about ``block_rows``; each two blocks
+    of a key meet in one lot.
+    """
+    blocks = F.ceil(F.col("n") / config.block_rows).cast("int")
+    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
+    placed = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    lots = placed.select(
+        "key", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "own", "node", "component"
+    )
+    return lots.join(sets.select("node", "n_shingles", "high", "low", "planes").hint("merge"), "node")
+
+
+def _by_lot(rows: DataFrame, work, schema: str) -> DataFrame:
+    """``work(table of a lot)`` gives a batch; lots stream by in order, one is held at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = table if held is None else pa.concat_tables([held, table])
+            starts = _starts(table)
+            for begin, end in zip(starts[:-1], starts[1:]):
+                if end - begin > 1:
+                    yield from work(table.slice(begin, end - begin)).to_batches()
+            held = table.slice(starts[-1]).combine_chunks()
+        if held is not None and len(held) > 1:
+            yield from work(held).to_batches()
+
+    dealt = rows.repartition("key", "a", "b").sortWithinPartitions("key", "a", "b")
+    return dealt.mapInArrow(run, schema)
+
+
+def _starts(table: pa.Table) -> np.ndarray:
+    """Where each lot begins; the last one may go on in the next batch."""
+    columns = np.stack([table[c].to_numpy() for c in ("key", "a", "b")])
+    return np.concatenate([[0], np.flatnonzero((columns[:, 1:] != columns[:, :-1]).any(axis=0)) + 1]).astype(int)
+
+
+def _planes(lot: pa.Table) -> np.ndarray:
+    return np.concatenate([c.flatten().to_numpy() for c in lot["planes"].chunks]).reshape(len(lot), -1)
+
+
+def _partners(i: int, groups: np.ndarray, lot: dict[str, np.ndarray], config: MinHash) -> np.ndarray:
+    """Rows after ``i``, of other groups and of the other block if the lot has two, that may reach the limit."""
+    rest = slice(i + 1, None)
+    size = lot["n_shingles"]
+    fits = groups[rest] != groups[i]
+    fits &= 100 * np.minimum(size[rest], size[i]) >= config.percent * np.maximum(size[rest], size[i])
+    if lot["a"][0] != lot["b"][0]:
+        fits &= lot["own"][rest] != lot["own"][i]
+    near = np.flatnonzero(fits)
+    if len(near):
+        near = near[equal_bits(lot["planes"][i], lot["planes"][rest][near], config) >= config.percent / 100 - config.margin]
+    return near + i + 1
+
+
+def _columns(lot: pa.Table) -> dict[str, np.ndarray]:
+    names = ("a", "b", "own", "n_shingles", "component")
+    return {c: lot[c].to_numpy() for c in names} | {"planes": _planes(lot)}
+
+
+def block_links(rows: DataFrame, texts: DataFrame, sets: DataFrame, config: MinHash) -> DataFrame:
+    """``u, v`` links between different components that share a key.
+
+    ``rows(key, n, node, component)``. A first pass over the bit planes leaves the
+    rows that have some partner in their lot; only their texts are fetched. The second
+    confirms on full sets and passes over pairs that its links connect already, so a
+    lot sends on a spanning forest, never its pairs.
+    """
+
+    def hopeful(lot: pa.Table) -> pa.Table:
+        columns = _columns(lot)
+        mark = np.zeros(len(lot), dtype=bool)
+        for i in range(len(lot) - 1):
+            near = _partners(i, columns["component"], columns, config)
+            mark[near] = True
+            mark[i] |= len(near) > 0
+        return lot.filter(pa.array(mark))
+
+    def link(lot: pa.Table) -> pa.Table:
+        sets_ = [x for part in lot["text"].chunks for x in shingle_sets(part, config.width)]
+        # another text of a repeated id isn't the set that the row stands for
+        true = [_digest(x) == d for x, d in zip(sets_, zip(lot["high"].to_pylist(), lot["low"].to_pylist()))]
+        lot, sets_ = lot.filter(pa.array(true)), [x for x, t in zip(sets_, true) if t]
+        u: list[int] = []
+        v: list[int] = []
+        if len(lot) > 1:
+            columns, groups = _columns(lot), lot["component"].to_numpy().copy()
+            for i in range(len(lot) - 1):
+                for j in _partners(i, groups, columns, config).tolist():
+                    if groups[i] == groups[j]:
+                        continue
+                    common = len(np.intersect1d(sets_[i], sets_[j], assume_unique=True))
+                    if 100 * common >= config.percent * (len(sets_[i]) + len(sets_[j]) - common):
+                        u.append(i)
+                        v.append(j)
+                        groups[groups == groups[j]] = groups[i]
+        return pa.table({"u": lot["node"].take(pa.array(u, pa.int64())), "v": lot["node"].take(pa.array(v, pa.int64()))})
+
+    lots = _lots(rows, sets, config)
+    near = materialize(_by_lot(lots, hopeful, lots.schema), "hopeful")
+    kind = sets.schema["node"].dataType.simpleString()
+    full = near.hint("merge").join(texts, "node")
+    return materialize(_by_lot(full, link, f"u {kind}, v {kind}"), "links")
+
+
+def confirmed(pairs: DataFrame, texts: DataFrame, sets: DataFrame, config: MinHash) -> DataFrame:
     """The pairs ``u, v`` that reach the limit on their full sets.
 
-    Texts of ``v`` stream past the set of ``u``; a ``u`` with very many partners is
+    ``texts(node, text)`` holds all that may be asked for. Texts of ``v`` stream past the set of ``u``; a ``u`` with very many partners is
     salted, so no task holds more than ``hub_rows`` of them.
     """
     pairs = materialize(pairs, "pairs")
@@ -182,9 +303,9 @@ def confirmed(pairs: DataFrame, docs: DataFrame, sets: DataFrame, config: MinHas
         salted.select(F.col("v").alias("node"), "u", "salt", F.lit(1).alias("role"))
     )
     keyed = materialize(roles.join(sets.select("node", "high", "low"), "node"), "roles")
-    texts = docs.filter("doc_id is not null").select(F.col("doc_id").alias("node"), "text")
-    rows = keyed.join(texts, "node").repartition("u", "salt").sortWithinPartitions("u", "salt", "role")
-    node = docs.schema["doc_id"].dataType.simpleString()
+    # a merge join: neither side is bounded
+    rows = keyed.hint("merge").join(texts, "node").repartition("u", "salt").sortWithinPartitions("u", "salt", "role")
+    node = texts.schema["node"].dataType.simpleString()
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hub, hub_set = None, np.zeros(0, dtype=np.uint64)
@@ -220,25 +341,28 @@ def near_components(docs: DataFrame, config: MinHash = MinHash()) -> tuple[DataF
     )
     sets = materialize(sets, "sets")
     banded = sets.select(F.explode_outer("bands").alias("key"), "node")
-    shared = banded.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("n")).filter("n > 1")
-    members = materialize(banded.join(materialize(shared.drop("n"), "shared"), "key"), "members")
-
-    first = members.filter("hub <> node").select(F.col("hub").alias("u"), F.col("node").alias("v")).distinct()
-    first = materialize(first, "first")
-    links = confirmed(promising(first, sets, config), docs, sets, config)
+    shared = banded.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    members = materialize(banded.join(materialize(shared, "shared"), "key"), "members")
+    # most others first: the original of many copies meets more of them than any copy does
+    met = materialize(members.groupBy("node").agg(F.sum("n").alias("met")), "met")
+    ranked = members.join(met, "node").groupBy("key").agg(F.min(F.struct((-F.col("met")).alias("less"), "node")).alias("h"))
+    hubs = materialize(ranked.select("key", F.col("h.node").alias("hub")), "hubs")
+    named = docs.filter("doc_id is not null").select(F.col("doc_id").alias("node"), "text")
+    # all that may be compared, so that whole texts of the corpus are shuffled once
+    texts = materialize(named.join(met.select("node").hint("merge"), "node", "left_semi"), "texts")
+
+    first = members.join(hubs, "key").filter("hub <> node")
+    first = first.select(F.col("hub").alias("u"), F.col("node").alias("v")).distinct()
+    links = confirmed(promising(first, sets, config), texts, sets, config)
     parts = materialize(connected_components(links), "parts")
 
     placed = members.join(parts, F.col("node") == F.col("id"), "left").select(
-        "key", "node", F.coalesce("component", "node").alias("component")
+        "key", "n", "node", F.coalesce("component", "node").alias("component")
     )
     placed = materialize(placed, "placed")
     mixed = placed.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a <> b")
     open_rows = materialize(placed.join(materialize(mixed.select("key"), "mixed"), "key"), "open")
-    left = open_rows.select("key", F.col("node").alias("u"), F.col("component").alias("cu"))
-    right = open_rows.select("key", F.col("node").alias("v"), F.col("component").alias("cv"))
-    second = left.join(right, "key").filter("u < v and cu <> cv").select("u", "v").distinct()
-    second = second.join(first, ["u", "v"], "left_anti")
-    more = confirmed(promising(second, sets, config), docs, sets, config)
+    more = block_links(open_rows, texts, sets, config)
     parts = materialize(connected_components(links.union(more)), "parts")
     nodes = sets.select("high", "low", "node").join(parts, F.col("node") == F.col("id"), "left")
     return sketches, materialize(

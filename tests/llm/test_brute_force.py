@@ -308,7 +308,7 @@ def test_probabilities_sum_to_one(spark):
     sizes = model.class_sizes()
     inside = np.bincount(classes, [r.c + 0.5 for r in rows], shape.classes) + 0.5
     assert np.allclose(inside / sizes, 1.0)
-    features = np.zeros((1, 7), dtype=np.int64)
+    features = np.zeros((1, 5), dtype=np.int32)
     assert np.isclose(model.class_probabilities(features, model.weights).sum(), 1.0)
 
 
