@@ -204,12 +204,11 @@ def drop_copies(docs: DataFrame, owners: int | None = None) -> DataFrame:
     def meets(other: DataFrame) -> Column:
         return F.col("_id").eqNullSafe(other["doc_id"]) & (F.col("_sha") == other["text_sha256"])
 
-    marks = materialize(
-        gone.withColumn("mark", F.lit("gone")).union(again.withColumn("mark", F.lit("again"))), "marks"
-    )
-    marked = rows.join(marks, meets(marks), "left")
-    single = marked.filter("mark is null").select("row.*")
-    repeated = marked.filter("mark = 'again'")
+    gone, again = materialize(gone, "gone"), materialize(again, "again")
+    left = rows.join(gone, meets(gone), "left_anti")
+    if again.isEmpty():  # the usual case: no kept id is repeated
+        return left.select("row.*")
+    single = left.join(again, meets(again), "left_anti").select("row.*")
     longest = F.min(F.struct((-F.length(text_of(F.col("row.text")))).alias("less"), "row"))
-    one = repeated.groupBy("_id", "_sha").agg(longest.alias("best")).select("best.row.*")
-    return single.union(one)
+    one = left.join(again, meets(again), "left_semi").groupBy("_id", "_sha").agg(longest.alias("best"))
+    return single.union(one.select("best.row.*"))

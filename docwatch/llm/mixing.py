@@ -203,7 +203,10 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: in
         copies = F.explode(F.sequence(F.lit(1), F.col(times).cast("int")))
         return found.filter(F.col(times) > 0).select("row", copies.alias("copy")).select("row.*")
 
+    taken = repeated(rows.join(counts.filter("each > 0"), same), "each")
+    if counts.filter("over > 0").isEmpty():  # the usual case: no row is repeated
+        return taken
     left = rows.join(counts.filter("over > 0"), same).groupBy("_id", "_mark").agg(
         F.min("row").alias("row"), F.first("over").alias("over")
     )
-    return repeated(rows.join(counts.filter("each > 0"), same), "each").union(repeated(left, "over"))
+    return taken.union(repeated(left, "over"))
