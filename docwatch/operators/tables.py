@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from docwatch.session import instant
 
 LOOKBACK_HOURS = 36
+PENDING_LIMIT = 2000
 
 
 def since(as_of: datetime, hours: int = LOOKBACK_HOURS) -> Column:
@@ -24,8 +25,8 @@ def is_pending() -> Column:
     return F.col("lang").isNull() | F.col("topics").isNull()
 
 
-def scan_pending(items: DataFrame, limit: int | None = None) -> DataFrame:
-    """Items still to enrich: all of them, or the newest ``limit``."""
+def scan_pending(items: DataFrame, limit: int | None = PENDING_LIMIT) -> DataFrame:
+    """The newest ``limit`` items still to enrich, in order; ``limit=None`` gives all, unordered."""
     pending = items.filter(is_pending())
     if limit is None:
         return pending
