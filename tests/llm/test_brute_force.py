@@ -67,6 +67,29 @@ def test_shared_lines_deplete(spark):
     assert stripped[3] == body(3) and stripped[200] == body(999)
 
 
+def letters(text):
+    return text.translate(str.maketrans("0123456789", "abcdefghij"))
+
+
+def test_edited_copies_keep_their_lines(spark):
+    base = [[letters(f"line{k}word{j}") for j in range(25)] for k in range(8)]
+    rows = []
+    for i in range(20):
+        edited = [list(line) for line in base]
+        edited[i % 8][i % 25] = letters(f"edit{i}")
+        rows.append((i, "\n".join(" ".join(line) for line in edited), "h"))
+    rows += [(100 + i, letters(" ".join(f"own{i}x{j}" for j in range(60))), "h") for i in range(480)]
+    # thin pages share most of their lines too, but are different texts
+    menu = "\n".join(letters(" ".join(f"menu{k}x{j}" for j in range(6))) for k in range(4))
+    rows += [(1000 + i, menu + letters("\n" + " ".join(f"thin{i}x{j}" for j in range(15))), "h") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    judged = {r.doc_id: r for r in quality_rules.judge(docs).collect()}
+    assert all(judged[i].kept and judged[i].lost_share == 0 for i in range(20))
+    assert not any(judged[1000 + i].kept for i in range(30))
+    assert {r.doc_id for r in quality_rules.keep_good(docs).collect()} == {i for i, r in judged.items() if r.kept}
+    assert minhash.drop_near_copies(quality_rules.keep_good(docs).filter("doc_id < 20")).count() == 1
+
+
 # ---- exact dedup -------------------------------------------------------------
 
 
