@@ -29,9 +29,9 @@ BANDS, BAND = 32, 3
 class Limits:
     """When a text fails and when a line counts as boilerplate.
 
-    A line of at most ``line_words`` words is boilerplate of its host if it is in
-    more than ``line_documents`` different texts of the host and in more than
-    ``line_share`` of them. Copies of a text count once, and so do near copies (see
+    A line, however long, is boilerplate of its host if it is in more than
+    ``line_documents`` different texts of the host and in more than ``line_share``
+    of them. Copies of a text count once, and so do near copies (see
     :func:`near_text_groups`), so that a group of either doesn't wipe itself out.
     Texts are near copies from an estimated similarity of ``near_share``.
     A document that loses more than ``lost_share`` of its words is rejected.
@@ -39,7 +39,6 @@ class Limits:
 
     min_words: int = 10
     repeat_percent: int = 20
-    line_words: int = 40
     line_documents: int = 4
     line_share: float = 0.02
     lost_share: float = 0.5
@@ -117,7 +116,7 @@ def text_key(text: Column) -> Column:
 
 
 def line_table(docs: DataFrame) -> DataFrame:
-    """``host, text_key, line, line_words, words``: each line of each text of a host.
+    """``host, text_key, line, words``: each line of each text of a host.
 
     ``words`` is what the line takes of the text, over all its places and copies;
     only shares of it are used, so the number of copies doesn't matter.
@@ -132,9 +131,7 @@ def line_table(docs: DataFrame) -> DataFrame:
     counted = normal.select(
         "host", "text_key", F.xxhash64("line").alias("line"), F.size(F.split("line", " ")).alias("line_words")
     )
-    return counted.groupBy("host", "text_key", "line").agg(
-        F.max("line_words").alias("line_words"), F.sum("line_words").alias("words")
-    )
+    return counted.groupBy("host", "text_key", "line").agg(F.sum("line_words").alias("words"))
 
 
 def _marks(docs: DataFrame, chosen: DataFrame) -> DataFrame:
@@ -200,9 +197,7 @@ def boilerplate_lines(lines: DataFrame, docs: DataFrame, limits: Limits = Limits
     """
     texts = lines.groupBy("host", "text_key").agg(F.lit(1).alias("one"))
     hosts = texts.groupBy("host").agg(F.count("*").alias("n_texts"))
-    spread = lines.filter(F.col("line_words") <= limits.line_words).groupBy("host", "line").agg(
-        F.count("*").alias("n_texts")
-    )
+    spread = lines.groupBy("host", "line").agg(F.count("*").alias("n_texts"))
     often = materialize(spread.filter(F.col("n_texts") > limits.line_documents).select("host", "line"), "often")
     hit = materialize(lines.join(often, ["host", "line"]).select("host", "line", "text_key"), "often-in")
     near = materialize(near_text_groups(docs, hit.select("host", "text_key").distinct(), limits.near_share), "near")

@@ -90,6 +90,19 @@ def test_edited_copies_keep_their_lines(spark):
     assert minhash.drop_near_copies(quality_rules.keep_good(docs).filter("doc_id < 20")).count() == 1
 
 
+def test_long_lines_deplete(spark):
+    notice = letters(" ".join(f"notice{j}" for j in range(45)))
+    own = {i: letters(" ".join(f"own{i}x{j}" for j in range(20))) for i in range(30)}
+    rows = [(i, f"{notice}\n{text}", "h") for i, text in own.items()] + [(100, notice, "h")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    judged = quality_rules.judge(docs).collect()
+    assert not any(r.kept for r in judged)
+    shares = {r.doc_id: r.lost_share for r in judged}
+    assert shares[100] == 1 and shares[3] == 45 / 65
+    stripped = {r.doc_id: r.text for r in quality_rules.strip_lines(docs).collect()}
+    assert stripped == own | {100: ""}
+
+
 # ---- exact dedup -------------------------------------------------------------
 
 
