@@ -26,19 +26,33 @@ URL_RULES = [
 ]
 
 
+#: What of a page's markup isn't its text: comments, whole elements of these names, other tags.
+NOT_TEXT = r"(?is)<!--.*?-->|<(head|script|style|nav|header|footer|aside)\b.*?</\1\s*>|<[^>]*>"
+
+
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's URL judged by rules and, where none fits, by boosted trees.
 
-    A labelled URL is one whose page has a label; low quality or toxic is bad.
+    The trees learn from labels of the pages themselves, see :func:`page_labels`.
     """
-    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    bad = ((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("int")
-    labelled = pages.join(labels.select(F.col("doc_id").alias("page_id"), bad.alias("bad")), "page_id")
-    judged = url_filter.judge_urls(pages, labelled.select("url", "bad"), URL_RULES)
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    judged = url_filter.judge_urls(pages.select("page_id", "url"), page_labels(pages), URL_RULES)
     return judged.select("page_id", "host", "path", "rule", "verdict", "bad_score")
 
 
+def page_labels(pages: DataFrame) -> DataFrame:
+    """``url, bad`` of every page: a fitting rule's verdict, else the base rules on its own text.
+
+    The labels table isn't used: its ids are those of documents, not of pages.
+    """
+    rule = url_filter.matched_rule(url_filter.url_host(F.col("url")), url_filter.url_path(F.col("url")), URL_RULES)
+    ruled = F.when(rule["verdict"] == "block", 1).when(rule["verdict"] == "allow", 0)
+    text = F.when(ruled.isNull(), F.regexp_replace("html", NOT_TEXT, " "))
+    counted = quality_rules.with_text_counts(pages.select("url", ruled.alias("ruled"), text.alias("text")))
+    failed = quality_rules.base_failed(quality_rules.Limits()).cast("int")
+    return counted.select("url", F.coalesce("ruled", failed).alias("bad"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to the sources' target shares; one row per document."""
     mixed = mixing.mix(documents(spark, sf_dir))

@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from docwatch.llm import exact_dedup, maxent_lm, minhash, mixing, packing, quality_rules, sharding, substring_dedup
 from docwatch.llm import token_counts, url_filter
@@ -438,3 +439,32 @@ def test_trees_learn_lexical_signs(spark):
     held = [r for r in judged.collect() if r.page_id >= 400]
     right = sum((r.verdict == "block") == (r.page_id % 2 == 1) for r in held)
     assert right / len(held) > 0.95
+
+
+def test_labels_of_the_query_teach(spark):
+    from docwatch.llm.queries import page_labels
+
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("page_id", "url", "html")
+    labelled = page_labels(pages).groupBy("url").agg({"bad": "max"}).toDF("url", "bad").localCheckpoint()
+    held = F.pmod(F.xxhash64("url"), F.lit(2)) == 1
+    rows = url_filter.score_urls(labelled.filter(held).select("url"), labelled.filter(~held)).select("url", "bad_score")
+    got = rows.join(labelled, "url").collect()
+    base = sum(r.bad for r in got) / len(got)
+    assert len(got) > 1000 and 0.1 < base < 0.9
+    assert sum((r.bad_score - r.bad) ** 2 for r in got) < sum((base - r.bad) ** 2 for r in got)
+
+
+def test_pages_are_labelled_by_their_own_text(spark):
+    from docwatch.llm.queries import page_labels
+
+    good = " ".join(f"word{i}" for i in range(30))
+    rows = [
+        ("http://a.example.com/en/1", f"<nav>{'a ' * 99}</nav><p>{good}</p>", 0),
+        ("http://a.example.com/en/2", f"<script>{good}</script><p>two words</p>", 1),
+        ("http://a.example.com/en/3", f"<p>{'again and again and ' * 20}</p>", 1),
+        ("http://a.example.net/de/4", f"<p>{good}</p>", 1),
+        ("http://a.example.net/en/5", "", 0),
+        (None, None, 1),
+    ]
+    pages = spark.createDataFrame([r[:2] for r in rows], "url string, html string")
+    assert {r.url: r.bad for r in page_labels(pages).collect()} == {r[0]: r[2] for r in rows}
