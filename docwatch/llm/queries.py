@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docwatch.llm import exact_dedup, maxent_lm, minhash, mixing, packing, quality_rules, sharding, substring_dedup
-from docwatch.llm import token_counts, url_filter
+from docwatch.llm import centroids, exact_dedup, lexical_search, maxent_lm, minhash, mixing, packing, quality_rules
+from docwatch.llm import sharding, substring_dedup, token_counts, url_filter, vector_packing
 from docwatch.session import fresh_path
 
 SHARDS = 16
@@ -136,6 +136,22 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of as few sequences as vector best fit needs; one row per piece."""
+    return vector_packing.pack(documents(spark, sf_dir), packing.public_encoder())
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of each benchmark item."""
+    index = lexical_search.build_index(documents(spark, sf_dir))
+    return lexical_search.search(index, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's cluster after three rounds, and how tight the clusters are."""
+    return centroids.cluster_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -149,6 +165,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_maxent_lm,
         op9_token_counts,
         op10_sharding,
+        op11_vector_packing,
+        op12_lexical_search,
+        op13_centroids,
     )
 }
 
@@ -250,3 +269,57 @@ SELECT sets.doc_id, len(sets.s)::BIGINT AS n_shingles, coalesce(component, sets.
        coalesce(component, sets.doc_id) = sets.doc_id AS kept
 FROM sets LEFT JOIN distinct_sets ON list_sort(sets.s) = distinct_sets.s LEFT JOIN parts USING (node)
 """
+
+SQL["op12_lexical_search"] = r"""
+WITH lowered AS (
+  SELECT 'd' AS kind, doc_id AS id, row_number() OVER () AS r,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+  UNION ALL
+  SELECT 'b', item_id, 0, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') FROM benchmark),
+terms AS (SELECT kind, id, r, unnest(regexp_extract_all(t, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM lowered),
+tfs AS (SELECT r, id AS doc_id, term, count(*) AS tf FROM terms WHERE kind = 'd' GROUP BY ALL),
+docs AS (SELECT r, sum(tf)::BIGINT AS n FROM tfs GROUP BY r),
+whole AS (SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_terms FROM docs),
+weights AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+            FROM tfs, whole GROUP BY term, n_docs),
+asked AS (SELECT DISTINCT id AS item_id, term FROM terms WHERE kind = 'b'),
+scored AS (
+  SELECT item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM asked JOIN weights USING (term) JOIN tfs USING (term) JOIN docs USING (r), whole GROUP BY item_id, r, doc_id),
+ranked AS (SELECT item_id, doc_id, score,
+                  row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
+
+
+def _kmeans_sql(rounds: int, k: int) -> str:
+    """The rounds as steps of one WITH: labels from centroids, centroids from labels."""
+    apart = "list_sum(list_transform(range(1, 65), lambda i: (v[i] - c[i]) * (v[i] - c[i])))::BIGINT"
+    floor_mean = "((s - ((s % n) + n) % n) // n)::BIGINT"
+    steps = [
+        """p AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v
+               FROM embeddings WHERE len(embedding) = 64
+               AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64)""",
+        f"""c0 AS (SELECT row_number() OVER (ORDER BY h, v) - 1 AS cluster, v AS c
+                FROM (SELECT sha256('1:' || vec_id) AS h, v FROM p ORDER BY h, v LIMIT {k}))""",
+    ]
+    for i in range(rounds + 1):
+        steps.append(
+            f"""l{i} AS (SELECT r, first(cluster ORDER BY distance, cluster) AS cluster, min(distance) AS distance
+                  FROM (SELECT r, cluster, {apart} AS distance FROM p, c{i}) GROUP BY r)"""
+        )
+        if i < rounds:
+            steps.append(
+                f"""m{i} AS (SELECT cluster, list({floor_mean} ORDER BY i) AS c
+                      FROM (SELECT cluster, i, sum(v[i])::BIGINT AS s, count(*) AS n
+                            FROM (SELECT cluster, v, unnest(range(1, 65)) AS i FROM l{i} JOIN p USING (r))
+                            GROUP BY cluster, i) GROUP BY cluster),
+                c{i + 1} AS (SELECT cluster, coalesce(m{i}.c, c{i}.c) AS c FROM c{i} LEFT JOIN m{i} USING (cluster))"""
+            )
+    return f"""WITH {", ".join(steps)}
+    SELECT vec_id, cluster::INT AS cluster, distance, sum(distance) OVER (PARTITION BY cluster)::BIGINT AS cluster_inertia,
+           sum(distance) OVER ()::BIGINT AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+    FROM l{rounds} JOIN p USING (r) JOIN c{rounds} USING (cluster)"""
+
+
+SQL["op13_centroids"] = _kmeans_sql(3, 16)
