@@ -91,7 +91,9 @@ def test_body_chain(spark, as_of):
     )
     got = {r.url + str(i): r.text for i, r in enumerate(collect.entries_to_items(rows, as_of, pages).collect())}
     texts = sorted(got.values())
-    assert sorted([LONG + "longer", LONG + " page".strip(), "d", "x" * 8000, "a" * 40]) == texts
+    assert sorted([LONG + "longer", LONG + " page".strip(), "d", "x" * 9000, "a" * 40]) == texts
+    short = {r.text for r in collect.entries_to_items(rows, as_of, pages, body_chars=30).collect()}
+    assert short == {t[:30] for t in texts}
 
 
 def test_short_bodies_are_reported(spark):

@@ -76,8 +76,10 @@ def test_context(spark):
     )
     got = {r.cluster_id: r.context for r in sm.cluster_context(rows).collect()}
     assert got["c"] == "Title: T 1\nURL: http://u\nb < c\n\n---\n\nTitle: T2"
-    assert got["d"] == "x" * 6500
+    assert got["d"] == "x" * 9000
     assert got["e"] == ""
+    cut = {r.cluster_id: r.context for r in sm.cluster_context(rows, context_chars=6500).collect()}
+    assert cut == {c: text[:6500] for c, text in got.items()}
 
 
 def test_extractive_picks_rare_words_in_order(spark):
