@@ -2,7 +2,8 @@
 
 Only DataFrame functions and Spark's own tree learner are used; no URL leaves the
 JVM. The learner is fitted on labelled URLs only, at most ``max_labelled`` of them
-(chosen by hash); the statistics of suffixes are counted over all labelled URLs.
+(chosen by hash); the statistics of suffixes are counted over all labelled URLs, and
+a URL that is learned from has them without its own fold of the labels.
 
 Defined cases: a null URL, or one without ``://``, has an empty host and path and is
 judged like any other; without labels, or with labels of one kind only, the
@@ -43,7 +44,9 @@ class Training:
 
     max_labelled: int = 200_000
     trees: int = 20
-    depth: int = 4
+    depth: int = 3
+    step: float = 0.1
+    least_node: int = 20
     smoothing: float = 20.0
     threshold: float = 0.5
     seed: int = 7
@@ -119,40 +122,71 @@ def with_features(urls: DataFrame) -> DataFrame:
     return rows.withColumns({k: F.coalesce(f(), F.lit("")) for k, f in SUFFIXES.items()})
 
 
-def suffix_rates(labelled: DataFrame, smoothing: float) -> tuple[dict[str, DataFrame], float]:
-    """For each kind of suffix a table ``suffix, rate, count``, and the mean rate."""
+FOLDS = 5
+
+
+def suffix_rates(labelled: DataFrame) -> tuple[dict[str, DataFrame], float]:
+    """For each kind of suffix a table ``suffix, fold, bad, n`` of sums, and the mean rate.
+
+    A null ``fold`` stands for all of them.
+    """
     mean = labelled.agg(F.avg("bad")).first()[0] or 0.0
     tables = {}
     for kind in SUFFIXES:
-        sums = labelled.groupBy(kind).agg(F.sum("bad").alias("bad"), F.count("*").alias("n"))
-        rate = (F.col("bad") + smoothing * mean) / (F.col("n") + smoothing)
-        tables[kind] = materialize(
-            sums.select(kind, rate.alias(f"{kind}_rate"), F.log1p("n").alias(f"{kind}_count")), kind
-        )
+        sums = labelled.groupBy(kind, "fold").agg(F.sum("bad").alias("bad"), F.count("*").alias("n"))
+        tables[kind] = materialize(sums, kind)
     return tables, mean
 
 
-def _with_rates(rows: DataFrame, tables: dict[str, DataFrame], mean: float) -> DataFrame:
+def _with_rates(rows: DataFrame, tables: dict[str, DataFrame], mean: float, smoothing: float) -> DataFrame:
+    """Adds rate and count of each suffix, and the assembled features.
+
+    ``rows.fold`` is null for a row that is judged; a row that is learned from has its
+    own fold, whose labels are left out of its rates.
+    """
     for kind, table in tables.items():
-        rows = rows.join(table, kind, "left").fillna({f"{kind}_rate": mean, f"{kind}_count": 0.0})
+        whole = table.groupBy(kind).agg(F.sum("bad").alias("_bad"), F.sum("n").alias("_n"))
+        own = table.select(kind, "fold", F.col("bad").alias("_own_bad"), F.col("n").alias("_own_n"))
+        rows = rows.join(whole, kind, "left").join(own, [kind, "fold"], "left")
+        zero = F.lit(0)
+        bad = F.coalesce("_bad", zero) - F.coalesce("_own_bad", zero)
+        n = F.coalesce("_n", zero) - F.coalesce("_own_n", zero)
+        rows = rows.withColumns({f"{kind}_rate": (bad + smoothing * mean) / (n + smoothing), f"{kind}_count": F.log1p(n)})
+        rows = rows.drop("_bad", "_n", "_own_bad", "_own_n")
     return VectorAssembler(inputCols=FEATURES, outputCol="features", handleInvalid="keep").transform(rows)
 
 
 def score_urls(urls: DataFrame, labelled: DataFrame, training: Training = Training()) -> DataFrame:
-    """Adds ``bad_score`` to the rows of ``urls(url, ...)``; ``labelled`` is ``url, bad`` (0 or 1)."""
-    known = materialize(with_features(labelled.filter("bad is not null").select("url", F.col("bad").cast("double"))), "labelled")
-    tables, mean = suffix_rates(known, training.smoothing)
+    """Adds ``bad_score`` to the rows of ``urls(url, ...)``; ``labelled`` is ``url, bad`` (0 or 1).
+
+    ``labelled`` should be a written table: a filter on a label that is computed in
+    many steps would be planned through all of them.
+    """
+    known = with_features(labelled.filter("bad is not null").select("url", F.col("bad").cast("double")))
+    known = materialize(known.withColumn("fold", F.pmod(F.xxhash64("url_text"), F.lit(FOLDS)).cast("int")), "labelled")
+    tables, mean = suffix_rates(known)
     n = known.count()
-    rows = _with_rates(with_features(urls), tables, mean)
+    judged = with_features(urls).withColumn("fold", F.lit(None).cast("int"))
+    rows = _with_rates(judged, tables, mean, training.smoothing).drop("fold")
     if n == 0 or mean in (0.0, 1.0):
         return rows.withColumn("bad_score", F.lit(float(mean)))
     per_million = min(1_000_000, int(1_000_000 * training.max_labelled / n))
     chosen = known.filter(F.pmod(F.xxhash64("url_text"), F.lit(1_000_000)) < per_million)
-    sample = _with_rates(chosen, tables, mean).select("features", "bad")
-    if sample.agg(F.countDistinct("bad")).first()[0] < 2:
+    # a fifth of what is learned from tells when further trees no longer help
+    checked = (F.pmod(F.xxhash64("url_text", F.lit("checked")), F.lit(5)) == 0).alias("checked")
+    sample = materialize(_with_rates(chosen, tables, mean, training.smoothing).select("features", "bad", checked), "sample")
+    kinds = sample.agg(F.countDistinct(F.when(~F.col("checked"), F.col("bad"))).alias("n"), F.max("checked").alias("any")).first()
+    if kinds.n < 2:
         return rows.withColumn("bad_score", F.lit(float(mean)))
     learner = GBTClassifier(
-        featuresCol="features", labelCol="bad", maxIter=training.trees, maxDepth=training.depth, seed=training.seed
+        featuresCol="features",
+        labelCol="bad",
+        **({"validationIndicatorCol": "checked"} if kinds.any else {}),
+        maxIter=training.trees,
+        maxDepth=training.depth,
+        stepSize=training.step,
+        minInstancesPerNode=training.least_node,
+        seed=training.seed,
     )
     model = learner.fit(sample)
     return model.transform(rows).withColumn("bad_score", vector_to_array("probability")[1])
@@ -162,8 +196,11 @@ def judge_urls(urls: DataFrame, labelled: DataFrame, rules: list[Rule], training
     """``urls`` with ``host, path, rule, verdict, bad_score``.
 
     The verdict is the longest fitting rule's, else block where the score reaches
-    the threshold. Columns of ``urls`` with these names give way.
+    the threshold. The trees learn from labelled URLs that no rule fits, as they
+    judge no other. Columns of ``urls`` with these names give way.
     """
+    ruled_out = matched_rule(url_host(F.col("url")), url_path(F.col("url")), rules).isNull()
+    labelled = labelled.filter(ruled_out)
     made = ["host", "path", "rule", "verdict", "bad_score"]
     carried = [c for c in urls.columns if c not in made]
     rows = urls.select(F.col("url"), F.struct(*[F.col(c) for c in carried]).alias("carried"))
