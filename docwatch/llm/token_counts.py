@@ -1,10 +1,11 @@
 """Token totals kept up by signed deltas.
 
 A batch of changes (insert, delete, revise) becomes signed sums per source,
-language and tokenizer version. A batch is committed under its id: the sums are
-written to a folder of that name, whole and over whatever an earlier attempt left
-there, so a batch that is sent twice counts once. Totals are the sum of the
-batches; :func:`compact` folds old batches into one.
+language and tokenizer version. Every attempt to commit a batch writes a folder of
+its own, and a marker written last names the attempt that counts. A batch with a
+marker is never written again: one that is sent twice counts once, and a second
+commit that breaks off, wherever it does, leaves the first as it is. Totals are the
+sum of the marked attempts; :func:`compact` folds old batches into one.
 
 Defined cases: a null source or language is a group of its own; a null text counts
 no tokens but one document; a null count is 0; repeated change rows each count;
@@ -13,6 +14,8 @@ an empty batch commits nothing but its id; other columns aren't read.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,23 +60,41 @@ def signed(changes: DataFrame) -> DataFrame:
     return sums.filter((F.col("docs") != 0) | (F.col("tokens") != 0))
 
 
-def commit(changes: DataFrame, path: str, batch_id: str) -> None:
-    """Write a batch under its id; a second commit of the id replaces the first.
+def commit(changes: DataFrame, path: str, batch_id: str) -> bool:
+    """Write a batch under its id, unless it is committed already; says whether it was written.
 
-    The folder counts only when the whole batch is written (its marker is a row
-    written last), so a job that breaks off leaves no part of a batch behind.
+    Should two commits of one id run at the same time, both may leave a marker; the
+    attempt of the lowest name counts, for every reader.
     """
-    spark = changes.sparkSession
-    signed(changes).coalesce(1).write.mode("overwrite").parquet(f"{path}/deltas/batch={batch_id}")
-    mark = spark.createDataFrame([(batch_id,)], "done string")
-    mark.coalesce(1).write.mode("overwrite").parquet(f"{path}/commits/batch={batch_id}")
+    if _is_committed(changes.sparkSession, path, batch_id):
+        return False
+    _write(signed(changes), path, batch_id)
+    return True
+
+
+def _write(sums: DataFrame, path: str, batch_id: str) -> None:
+    attempt = f"{batch_id}.{uuid.uuid4().hex}"
+    sums.coalesce(1).write.parquet(f"{path}/deltas/batch={attempt}")
+    mark = sums.sparkSession.createDataFrame([(attempt,)], "done string")
+    mark.coalesce(1).write.mode("append").parquet(f"{path}/commits/batch={batch_id}")
+
+
+def _is_committed(spark: SparkSession, path: str, batch_id: str) -> bool:
+    """Whether a marker is there; a folder in which writing one broke off has none."""
+    folder = f"{path}/commits/batch={batch_id}"
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(folder)
+    if not place.getFileSystem(context._jsc.hadoopConfiguration()).exists(place):
+        return False
+    return not spark.read.schema("done string").parquet(folder).isEmpty()
 
 
 def committed(spark: SparkSession, path: str) -> DataFrame:
     """``batch`` and its deltas, of finished batches."""
-    done = spark.read.schema("done string").parquet(f"{path}/commits").select("done")
+    marks = spark.read.option("basePath", f"{path}/commits").schema("done string, batch string").parquet(f"{path}/commits")
+    named = marks.groupBy("batch").agg(F.min("done").alias("done"))
     deltas = spark.read.option("basePath", f"{path}/deltas").schema(f"{DELTA}, batch string").parquet(f"{path}/deltas")
-    return deltas.join(done, F.col("batch") == F.col("done"), "left_semi")
+    return deltas.withColumnRenamed("batch", "done").join(named, "done").drop("done")
 
 
 def totals(spark: SparkSession, path: str) -> DataFrame:
@@ -84,8 +105,4 @@ def totals(spark: SparkSession, path: str) -> DataFrame:
 
 def compact(spark: SparkSession, path: str, into: str) -> None:
     """The totals as one first batch of a new store; the old store stays as it is."""
-    base = totals(spark, path)
-    base.coalesce(1).write.mode("overwrite").parquet(f"{into}/deltas/batch=base")
-    spark.createDataFrame([("base",)], "done string").coalesce(1).write.mode("overwrite").parquet(
-        f"{into}/commits/batch=base"
-    )
+    _write(totals(spark, path), into, "base")
