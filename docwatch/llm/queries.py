@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from docwatch.llm import centroids, exact_dedup, lexical_search, maxent_lm, minhash, mixing, packing, quality_rules
 from docwatch.llm import sharding, substring_dedup, token_counts, url_filter, vector_packing
-from docwatch.session import fresh_path
+from docwatch.session import fresh_path, materialize
 
 SHARDS = 16
 
@@ -27,7 +27,8 @@ URL_RULES = [
 
 
 #: What of a page's markup isn't its text: comments, whole elements of these names, other tags.
-NOT_TEXT = r"(?is)<!--.*?-->|<(head|script|style|nav|header|footer|aside)\b.*?</\1\s*>|<[^>]*>"
+#: What isn't closed reaches to the end of the page, so that no start is searched for in vain.
+NOT_TEXT = r"(?is)<!--.*?(?:-->|\z)|<(head|script|style|nav|header|footer|aside)\b.*?(?:</\1\s*>|\z)|<[^>]*(?:>|\z)"
 
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,7 +37,9 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     The trees learn from labels of the pages themselves, see :func:`page_labels`.
     """
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
-    judged = url_filter.judge_urls(pages.select("page_id", "url"), page_labels(pages), URL_RULES)
+    # written first: the planner would copy the steps of the counts into every filter on a label
+    labels = materialize(page_labels(pages), "page-labels")
+    judged = url_filter.judge_urls(pages.select("page_id", "url"), labels, URL_RULES)
     return judged.select("page_id", "host", "path", "rule", "verdict", "bad_score")
 
 
@@ -75,8 +78,15 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines found earlier in the corpus; one row per line to remove."""
-    return substring_dedup.repeated_units(documents(spark, sf_dir))
+    """Every document without the passages found earlier in the corpus; one row per document.
+
+    ``kept`` says that the whole text stays. ``removed`` lists ``start+length`` of what
+    went, in code points of the original text.
+    """
+    left = substring_dedup.without_passages(documents(spark, sf_dir).select("doc_id", "text"))
+    spans = F.transform("removed", lambda s: F.concat_ws("+", s["start"], s["length"]))
+    lost = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["length"])
+    return left.select("doc_id", "kept", lost.alias("removed_chars"), F.array_join(spans, " ").alias("removed"), "text")
 
 
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,28 +104,27 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The revision counts a text without its repeated lines; the deletion takes back
     every row but the smallest id of equal texts. The first batch is sent twice.
+    Texts are read once, for a narrow table of counts.
     """
     path = fresh_path(spark, "token-store")
-    docs = documents(spark, sf_dir)
     text = F.coalesce("text", F.lit(""))
     old = token_counts.word_count(text)
     new = token_counts.word_count(F.array_join(F.array_distinct(F.split(text, "\n")), "\n"))
-    load = token_counts.inserts(docs, "words/1")
+    counted = documents(spark, sf_dir).select(
+        "doc_id", "source", "lang", F.md5(text).alias("text_key"), old.alias("old"), new.alias("new")
+    )
+    counted = materialize(counted, "counted")
+    load = token_counts.inserts(counted, "words/1", F.col("old"))
     token_counts.commit(load, path, "1-load")
     token_counts.commit(load, path, "1-load")
-    counted = docs.select("source", "lang", F.lit("words/1").alias("tokenizer"), old.alias("old_tokens"), new.alias("new_tokens"))
-    token_counts.commit(counted.withColumn("change", F.lit("revise")), path, "2-repeated-lines")
-    narrow = docs.select("doc_id", "source", "lang", F.md5(text).alias("text_key"), new.alias("old_tokens"))
-    first = narrow.groupBy("text_key").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")).filter("n > 1")
-    copies = narrow.join(first, "text_key").filter("doc_id > first_id")
-    gone = copies.select(
-        F.lit("delete").alias("change"),
-        "source",
-        "lang",
-        F.lit("words/1").alias("tokenizer"),
-        "old_tokens",
-        F.lit(None).cast("long").alias("new_tokens"),
-    )
+    change = ["source", "lang", F.lit("words/1").alias("tokenizer")]
+    revised = counted.select(F.lit("revise").alias("change"), *change, F.col("old").alias("old_tokens"), F.col("new").alias("new_tokens"))
+    token_counts.commit(revised, path, "2-repeated-lines")
+    first = counted.groupBy("text_key").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")).filter("n > 1")
+    # a table of its own, so that the join can be split where one text has very many copies
+    first = materialize(first.drop("n"), "first-copies")
+    copies = counted.join(first, "text_key").filter("doc_id > first_id")
+    gone = copies.select(F.lit("delete").alias("change"), *change, F.col("new").alias("old_tokens"), F.lit(None).cast("long").alias("new_tokens"))
     token_counts.commit(gone, path, "3-copies")
     return token_counts.totals(spark, path)
 
@@ -217,21 +226,40 @@ FROM (SELECT doc_id, text_sha256, count(*) OVER (PARTITION BY text_sha256) AS gr
 """
 
 SQL["op6_substring_dedup"] = r"""
-WITH parts AS (SELECT doc_id, string_split(text, chr(10)) AS u FROM documents WHERE text IS NOT NULL),
-units AS (SELECT doc_id, place, u[place + 1] AS raw,
-                 coalesce(list_sum(list_transform(u[1 : place], lambda x: length(x) + 1)), 0)::BIGINT AS start
-          FROM (SELECT doc_id, u, unnest(range(0, len(u))) AS place FROM parts)),
-words AS (SELECT doc_id, place, start, length(raw)::BIGINT AS length,
-                 regexp_extract_all(translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                                    '[^\x20\x09-\x0D]+') AS w
-          FROM units),
-ranked AS (SELECT doc_id, place, start, length, len(w)::BIGINT AS n_words,
-                  first_value(doc_id) OVER same AS keep_id, first_value(place) OVER same AS keep_place,
-                  first_value(start) OVER same AS keep_start
-           FROM words WHERE len(w) >= 10
-           WINDOW same AS (PARTITION BY list_aggregate(w, 'string_agg', ' ') ORDER BY doc_id, place))
-SELECT doc_id, place, start, length, n_words, keep_id, keep_start
-FROM ranked WHERE doc_id <> keep_id OR place <> keep_place
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
+parts AS (SELECT r, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w, regexp_extract_all(text, '[\x20\x09-\x0D]+') AS g,
+                 regexp_matches(text, '^[\x20\x09-\x0D]')::INT AS lead FROM d WHERE text IS NOT NULL),
+words AS (SELECT r, i, w[i] AS word,
+                 CASE WHEN i + lead - 1 >= 1 THEN g[i + lead - 1] ELSE '' END AS gap
+          FROM (SELECT *, unnest(range(1, len(w) + 1)) AS i FROM parts)),
+placed AS (SELECT r, i, lower_word, length(word) AS n,
+                  sum(length(gap) + length(word)) OVER w - length(word) AS start,
+                  sum(length(gap) - length(replace(gap, chr(10), ''))) OVER w AS line_no,
+                  coalesce(sum((md5(lower_word) < '33')::INT) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS phrase_no
+           FROM (SELECT *, translate(word, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lower_word FROM words)
+           WINDOW w AS (PARTITION BY r ORDER BY i)),
+units AS (
+  SELECT 0 AS kind, r, line_no AS no, string_agg(lower_word, ' ' ORDER BY i) AS u, count(*) AS n_words, min(start) AS start, max(start + n) AS stop
+  FROM placed GROUP BY r, line_no
+  UNION ALL
+  SELECT 1, r, phrase_no, string_agg(lower_word, ' ' ORDER BY i), count(*), min(start), max(start + n) FROM placed GROUP BY r, phrase_no),
+numbered AS (SELECT units.*, doc_id, row_number() OVER (PARTITION BY units.r, kind ORDER BY no) AS place FROM units JOIN d USING (r)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY kind, u ORDER BY doc_id, place) AS nth FROM numbered),
+again AS (SELECT *, place - row_number() OVER (PARTITION BY r, kind ORDER BY place) AS run FROM ranked WHERE nth > 1),
+runs AS (SELECT r, min(start) AS start, max(stop) AS stop FROM again GROUP BY r, kind, run HAVING sum(n_words) >= 30),
+joined AS (SELECT *, sum(opens) OVER (PARTITION BY r ORDER BY start, stop) AS span
+           FROM (SELECT *, CASE WHEN start <= max(stop) OVER (PARTITION BY r ORDER BY start, stop ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+                                THEN 0 ELSE 1 END AS opens FROM runs)),
+spans AS (SELECT r, min(start)::BIGINT AS start, max(stop)::BIGINT AS stop FROM joined GROUP BY r, span),
+gone AS (SELECT r, list(start ORDER BY start) AS a, list(stop ORDER BY start) AS b FROM spans GROUP BY r)
+SELECT doc_id, a IS NULL AS kept,
+       coalesce(list_sum(list_transform(range(1, len(a) + 1), lambda i: b[i] - a[i])), 0)::BIGINT AS removed_chars,
+       coalesce(array_to_string(list_transform(range(1, len(a) + 1), lambda i: a[i] || '+' || (b[i] - a[i])), ' '), '') AS removed,
+       CASE WHEN a IS NULL THEN text ELSE
+         array_to_string(list_transform(range(0, len(a) + 1), lambda i:
+           substring(text, (CASE WHEN i = 0 THEN 0 ELSE b[i] END + 1)::BIGINT,
+                     ((CASE WHEN i = len(a) THEN length(text) ELSE a[i + 1] END) - (CASE WHEN i = 0 THEN 0 ELSE b[i] END))::BIGINT)), '') END AS text
+FROM d LEFT JOIN gone USING (r)
 """
 
 SQL["op9_token_counts"] = rf"""

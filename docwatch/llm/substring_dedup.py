@@ -1,13 +1,21 @@
-"""Repeated passages, by hashing lines or paragraphs.
+"""Repeated passages, by hashing lines, paragraphs or phrases.
 
 A text is cut into units; a unit is normalised (A-Z in lower case, single spaces)
 and digested to 128 bits. Digests are grouped over all documents: the occurrence
 of the smallest ``(doc_id, place)`` stays, every other is removed, and its place in
 the original text is reported, so nothing about the original is lost.
 
-Only digests are shuffled. The first occurrence is a minimum and so combines
-before the shuffle; where a digest is as common as a third of all units, its rows
-meet a one-row table, and that join can be split.
+A passage may stand inside a line, or across line ends that differ.
+:func:`without_passages` therefore cuts a text twice, into lines and into phrases: a
+phrase ends after each word whose own digest falls into a fifth of all digests, so
+equal passages are cut alike wherever they stand. Neighbouring repeated units are
+joined to runs, and runs of ``min_words`` words go. Of a passage, the words before
+its first and after its last phrase end may stay: four on either side on average.
+
+Only digests are shuffled, and texts once more where something is taken out. The
+first occurrence is a minimum and so combines before the shuffle; where a digest is
+as common as a third of all units, its rows meet a one-row table, and that join can
+be split.
 
 Defined cases: a null or empty text has no units; units of fewer than
 ``min_words`` words always stay; a null ``doc_id`` comes after every other; rows
@@ -18,18 +26,26 @@ carried along unseen.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from docwatch.llm.shingles import slices
 from docwatch.session import materialize
 
 SEPARATORS = {"line": "\n", "paragraph": "\n\n"}
 MIN_WORDS = 10
 BATCH_UNITS = 50_000
+RUN_WORDS = 30
+#: A phrase ends after a word whose md5 is below this, as hexadecimal text.
+PHRASE_END = "33"
+LINE, PHRASE = 0, 1
 
 
 def units_of(docs: DataFrame, unit: str = "line", min_words: int = MIN_WORDS) -> DataFrame:
@@ -126,3 +142,162 @@ def _cut(text: str | None, spans: list[dict] | None, separator: int) -> str | No
     joined = "".join(parts)
     ended = spans[-1]["start"] + spans[-1]["length"] == len(text)
     return joined[:-separator] if ended and joined else joined
+
+
+# ---- passages ------------------------------------------------------------------
+
+_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+_BLANK = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
+PASSAGE_UNITS = "kind int, place long, start long, length long, n_words long, high long, low long"
+
+
+def passage_units(docs: DataFrame) -> DataFrame:
+    """``doc_id, text_hash, kind, place, start, length, n_words, high, low``: all lines and phrases.
+
+    ``place`` counts the units of a kind in a text, without blank lines; a unit
+    reaches from its first to its last word, in code points of the original text.
+    """
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text", 4 << 20):
+                for units in _cut_both(part):
+                    for at in range(0, units.num_rows, BATCH_UNITS):
+                        yield units.slice(at, BATCH_UNITS)
+
+    rows = docs.filter("text is not null").select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    return rows.mapInArrow(cut, f"doc_id {id_type}, text_hash long, {PASSAGE_UNITS}")
+
+
+def _cut_both(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    texts = batch["text"].cast(pa.large_binary())
+    offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = texts.buffers()[2]
+    raw = bytes(data)[offsets[0] : offsets[-1]].translate(_LOWER) if data is not None else b""
+    offsets = offsets - offsets[0]
+    lowered = pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(offsets.tobytes()), pa.py_buffer(raw))
+    words = pc.ascii_split_whitespace(lowered).flatten()
+    words = words.filter(pc.greater(pc.binary_length(words), 0)).dictionary_encode()
+    code = words.indices.to_numpy(zero_copy_only=False)
+    if not len(code):
+        return
+    known = words.dictionary.cast(pa.large_binary()).to_pylist()
+    ends_phrase = np.array([hashlib.md5(w).hexdigest()[: len(PHRASE_END)] < PHRASE_END for w in known])[code]
+    pairs = np.frombuffer(b"".join(xxhash.xxh3_128_digest(w) for w in known), dtype=np.uint64).reshape(-1, 2)
+    # where words lie: bytes first, then code points and line numbers of their texts
+    chars = np.frombuffer(raw, dtype=np.uint8)
+    blank = _BLANK[chars]
+    opens = np.zeros(len(chars) + 1, dtype=bool)
+    opens[offsets] = True
+    starts = np.flatnonzero(~blank & (opens[:-1] | np.concatenate([[True], blank[:-1]])))
+    stops = np.flatnonzero(~blank & (opens[1:] | np.concatenate([blank[1:], [True]]))) + 1
+    owner = np.searchsorted(offsets, starts, side="right") - 1
+    point = np.concatenate([[0], np.cumsum((chars & 0xC0) != 0x80)])
+    line = np.cumsum(chars == 10)[starts]
+    first_point = point[offsets[owner]]
+    start, stop = point[starts] - first_point, point[stops] - first_point
+    new_text = np.concatenate([[True], owner[1:] != owner[:-1]])
+    new_line = np.concatenate([[True], line[1:] != line[:-1]])
+    new_phrase = np.concatenate([[True], ends_phrase[:-1]])
+    for kind, opening in ((LINE, new_text | new_line), (PHRASE, new_text | new_phrase)):
+        first = np.flatnonzero(opening)
+        n = np.diff(np.append(first, len(code)))
+        seat = (np.arange(len(code)) - np.repeat(first, n)).astype(np.uint64)
+        digest = [np.add.reduceat(_mixed(pairs[code, j] + (2 * seat + np.uint64(kind)) * _STEP), first) for j in (0, 1)]
+        who = owner[first]
+        unit = np.arange(len(first))
+        place = unit - np.maximum.accumulate(np.where(new_text[first], unit, 0))
+        rows = pa.array(who)
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch["doc_id"].take(rows),
+                batch["text_hash"].take(rows),
+                pa.array(np.full(len(first), kind, dtype=np.int32)),
+                pa.array(place),
+                pa.array(start[first]),
+                pa.array(stop[first + n - 1] - start[first]),
+                pa.array(n),
+                *[pa.array(d.view(np.int64)) for d in digest],
+            ],
+            names=["doc_id", "text_hash", "kind", "place", "start", "length", "n_words", "high", "low"],
+        )
+
+
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def repeated_runs(docs: DataFrame, min_words: int = RUN_WORDS) -> DataFrame:
+    """``doc_id, text_hash, start, length, n_words``: runs of units that stay elsewhere, lines and phrases apart."""
+    units = materialize(passage_units(docs), "passage-units")
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "place")
+    groups = units.groupBy("high", "low").agg(F.count("*").alias("n"), F.min(key).alias("first")).filter("n > 1")
+    groups = materialize(groups.select("high", "low", "first"), "repeats")
+    gone = units.join(groups, ["high", "low"]).filter(key != F.col("first"))
+    rows = gone.groupBy("doc_id", "text_hash", "kind", "place").agg(
+        F.min("start").alias("start"), F.min("length").alias("length"), F.min("n_words").alias("n_words")
+    )
+    before = Window.partitionBy("doc_id", "text_hash", "kind").orderBy("place")
+    runs = rows.withColumn("run", F.col("place") - F.row_number().over(before)).groupBy("doc_id", "text_hash", "kind", "run")
+    spans = runs.agg(
+        F.min("start").alias("start"), F.max(F.col("start") + F.col("length")).alias("stop"), F.sum("n_words").alias("n_words")
+    )
+    return spans.filter(F.col("n_words") >= min_words).select(
+        "doc_id", "text_hash", "start", (F.col("stop") - F.col("start")).alias("length"), "n_words"
+    )
+
+
+def without_passages(docs: DataFrame, min_words: int = RUN_WORDS) -> DataFrame:
+    """Every row of ``docs`` without its repeated passages, with ``removed`` and ``kept``.
+
+    ``removed`` holds ``start, length`` of what went, in code points of the original
+    text, in order and apart; ``kept`` says that the whole text stays. Columns of
+    ``docs`` with these names give way.
+    """
+    spans = repeated_runs(docs, min_words).groupBy("doc_id", "text_hash")
+    spans = spans.agg(F.sort_array(F.collect_list(F.struct("start", "length"))).alias("spans"))
+    spans = materialize(spans.withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"}), "spans")
+    carried = [c for c in docs.columns if c not in ("removed", "kept")]
+    rows = docs.select(F.struct(*carried).alias("row"), F.xxhash64("text").alias("hash"))
+    same = F.col("row.doc_id").eqNullSafe(F.col("_id")) & (F.col("hash") == F.col("_hash"))
+
+    @F.arrow_udf("struct<text string, removed array<struct<start long, length long>>>")
+    def taken_out(texts: pa.Array, spans: pa.Array) -> pa.Array:
+        return pa.array([_taken_out(t, s) for t, s in zip(texts.to_pylist(), spans.to_pylist())], _TAKEN)
+
+    joined = rows.join(spans, same, "left")
+    cut = joined.withColumn("cut", F.when(F.col("spans").isNotNull(), taken_out(F.col("row.text"), F.col("spans"))))
+    none = F.array().cast("array<struct<start:bigint,length:bigint>>")
+    kept = F.col("spans").isNull()
+    return cut.select(
+        *[
+            F.when(kept, F.col("row.text")).otherwise(F.col("cut.text")).alias(c) if c == "text" else F.col("row")[c].alias(c)
+            for c in carried
+        ],
+        F.coalesce("cut.removed", none).alias("removed"),
+        kept.alias("kept"),
+    )
+
+
+_TAKEN = pa.struct([("text", pa.string()), ("removed", pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())])))])
+
+
+def _taken_out(text: str | None, spans: list[dict] | None) -> dict | None:
+    if text is None or not spans:
+        return None
+    joined: list[list[int]] = []
+    for span in spans:
+        start, stop = span["start"], span["start"] + span["length"]
+        if joined and start <= joined[-1][1]:
+            joined[-1][1] = max(joined[-1][1], stop)
+        else:
+            joined.append([start, stop])
+    edges = [0, *[x for span in joined for x in span], len(text)]
+    left = "".join(text[a:b] for a, b in zip(edges[::2], edges[1::2]))
+    return {"text": left, "removed": [{"start": a, "length": b - a} for a, b in joined]}

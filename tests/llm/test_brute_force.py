@@ -2,7 +2,9 @@
 
 import hashlib
 import math
+import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -14,7 +16,7 @@ from pyspark.sql import functions as F
 
 from docwatch.llm import exact_dedup, maxent_lm, minhash, mixing, packing, quality_rules, sharding, substring_dedup
 from docwatch.llm import token_counts, url_filter
-from docwatch.session import fresh_path
+from docwatch.session import fresh_path, materialize
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -407,6 +409,99 @@ def test_repeats_are_cut_out(spark):
     assert [(s.start, s.length) for s in left[2].removed] == [(0, n), (n + 1, n)]
 
 
+def _passages_by_hand(docs, least):
+    """Runs of repeated lines and phrases, by position; ``docs`` are ``(doc_id, text)`` with distinct ids."""
+    units, first = defaultdict(list), {}
+    for doc_id, text in sorted(docs):
+        found = [(m.start(), m.end(), lower(m.group())) for m in WORD.finditer(text or "")]
+        for kind in (0, 1):
+            groups, number = [], None
+            for j, (a, b, w) in enumerate(found):
+                if kind == 0:
+                    this = text.count("\n", 0, a)
+                else:
+                    this = sum(hashlib.md5(x[2].encode()).hexdigest()[:2] < "33" for x in found[:j])
+                if this != number:
+                    groups.append([])
+                    number = this
+                groups[-1].append((a, b, w))
+            for g in groups:
+                key = (kind, " ".join(x[2] for x in g))
+                units[doc_id, kind].append((g[0][0], g[-1][1], len(g), first.setdefault(key, (doc_id, g[0][0])) == (doc_id, g[0][0])))
+    out = {}
+    for doc_id, text in docs:
+        gone = set()
+        for kind in (0, 1):
+            run = []
+            for unit in [*units[doc_id, kind], (0, 0, 0, True)]:
+                if not unit[3]:
+                    run.append(unit)
+                    continue
+                if sum(u[2] for u in run) >= least:
+                    gone.update(range(run[0][0], run[-1][1]))
+                run = []
+        out[doc_id] = gone
+    return out
+
+
+def test_passages_inside_lines_and_across_line_ends(spark):
+    draw = random.Random(8)
+    passage = [f"Pass{draw.randrange(10**6)}" for _ in range(60)]
+
+    def own(i, n=40):
+        return [f"own{i}x{draw.randrange(10**6)}é" for _ in range(n)]
+
+    def wrapped(ws, width):
+        return "\n".join(" ".join(ws[a : a + width]) for a in range(0, len(ws), width))
+
+    texts = {
+        1: " ".join(own(1) + passage + own(1)),
+        2: wrapped(own(2) + passage + own(2), 7),
+        3: " ".join(own(3)) + "\n\n" + wrapped([w.upper() for w in passage], 13) + "\t" + " ".join(own(3)),
+        4: " ".join(own(4) + passage[:12] + own(4)),
+        5: wrapped(own(5, 100), 9),
+        6: "",
+        7: None,
+        8: "  the " * 200 + "\n",
+    }
+    docs = spark.createDataFrame([(i, t, "x", True) for i, t in texts.items()], "doc_id long, text string, removed string, kept boolean")
+    got = {r.doc_id: r for r in substring_dedup.without_passages(docs.repartition(4)).collect()}
+    wanted = _passages_by_hand(list(texts.items()), substring_dedup.RUN_WORDS)
+    for i, text in texts.items():
+        gone = {j for s in got[i].removed for j in range(s.start, s.start + s.length)}
+        assert gone == wanted[i], i
+        assert got[i].kept == (not gone)
+        assert got[i].text == (text if not gone else "".join(c for j, c in enumerate(text) if j not in gone))
+    assert [i for i in texts if not got[i].kept] == [2, 3]  # the eighth is one phrase of one word
+    for i in (2, 3):
+        left = lower(got[i].text).split()
+        assert sum(lower(w) in left for w in passage) < 30 and sum(w.startswith("own") for w in left) == 80
+
+
+def test_passages_of_the_small_table(few):
+    texts = [(r.doc_id, r.text) for r in few.collect()]
+    wanted = _passages_by_hand(texts, 30)
+    got = {r.doc_id: r for r in substring_dedup.without_passages(few).collect()}
+    assert {i: sum(s.length for s in r.removed) for i, r in got.items()} == {i: len(g) for i, g in wanted.items()}
+    assert any(r.removed for r in got.values())
+
+
+def test_a_broken_second_commit_leaves_the_first(spark):
+    path = fresh_path(spark, "tokens")
+    columns = "change string, source string, lang string, tokenizer string, old_tokens long, new_tokens long"
+    good = spark.createDataFrame([("insert", "a", "en", "t", None, 5)], columns)
+    assert token_counts.commit(good, path, "1")
+    # the sum overflows in the last stage, while the batch is being written
+    broken = spark.createDataFrame([("insert", "a", "en", "t", None, 2**63 - 1)] * 2, columns)
+    token_counts.commit(broken, path, "1")
+    assert [(r.docs, r.tokens) for r in token_counts.totals(spark, path).collect()] == [(1, 5)]
+    with pytest.raises(Exception):
+        token_counts.commit(broken, path, "2")
+    assert [(r.docs, r.tokens) for r in token_counts.totals(spark, path).collect()] == [(1, 5)]
+    assert token_counts.commit(good, path, "2") and not token_counts.commit(good, path, "2")
+    assert [(r.docs, r.tokens) for r in token_counts.totals(spark, path).collect()] == [(2, 10)]
+
+
 def test_batches_count_once(spark):
     path = fresh_path(spark, "tokens")
     columns = "change string, source string, lang string, tokenizer string, old_tokens long, new_tokens long"
@@ -445,7 +540,7 @@ def test_labels_of_the_query_teach(spark):
     from docwatch.llm.queries import page_labels
 
     pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("page_id", "url", "html")
-    labelled = page_labels(pages).groupBy("url").agg({"bad": "max"}).toDF("url", "bad").localCheckpoint()
+    labelled = materialize(page_labels(pages).groupBy("url").agg({"bad": "max"}).toDF("url", "bad"), "labelled")
     held = F.pmod(F.xxhash64("url"), F.lit(2)) == 1
     rows = url_filter.score_urls(labelled.filter(held).select("url"), labelled.filter(~held)).select("url", "bad_score")
     got = rows.join(labelled, "url").collect()
@@ -454,6 +549,45 @@ def test_labels_of_the_query_teach(spark):
     assert sum((r.bad_score - r.bad) ** 2 for r in got) < sum((base - r.bad) ** 2 for r in got)
 
 
+def test_registered_url_query_ends_in_time(spark):
+    from docwatch.llm.queries import URL_RULES, op1_url_filter
+
+    start = time.perf_counter()
+    rows = op1_url_filter(spark, "/root/testdata/sf0.01").collect()
+    assert time.perf_counter() - start < 90
+    pages = {r.page_id: r.url for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "url").collect()}
+    assert {r.page_id for r in rows} == set(pages) and len(rows) == len(pages)
+    for r in rows:
+        _, _, rest = (pages[r.page_id] or "").partition("://")
+        host = lower(re.split(r"[/?#]", rest)[0])
+        path = re.split(r"[?#]", rest[len(host):])[0]
+        assert (r.host, r.path) == (host, path)
+        fits = [x for x in URL_RULES if (host == x.host or host.endswith("." + x.host)) and path.startswith(x.path)]
+        longest = max(fits, key=lambda x: len(x.text), default=None)
+        assert r.rule == (longest.text if longest else None)
+        assert r.verdict == (longest.verdict if longest else "block" if r.bad_score >= 0.5 else "allow")
+
+
+def test_learned_rows_miss_their_own_labels(spark):
+    """A suffix seen once tells nothing about the row it comes from."""
+    rows = [(f"http://h{i}.{chr(97 + i % 26)}x{i}/p", i % 2) for i in range(400)]
+    labelled = spark.createDataFrame(rows, "url string, bad int")
+    known = url_filter.with_features(labelled).withColumn("fold", F.pmod(F.xxhash64("url_text"), F.lit(5)).cast("int"))
+    tables, mean = url_filter.suffix_rates(known)
+    rates = url_filter._with_rates(known, tables, mean, 20.0).select("top_suffix_rate", "top_suffix_count").distinct().collect()
+    assert [(round(r[0], 9), r[1]) for r in rates] == [(0.5, 0.0)]
+
+
+def test_unclosed_markup_is_quick(spark):
+    from docwatch.llm.queries import page_labels
+
+    html = "<script>" * 20_000 + "<!--" * 20_000 + "<nav " * 20_000
+    start = time.perf_counter()
+    pages = spark.createDataFrame([("http://a.example.com/en/1", html), ("http://a.example.com/en/2", None)], "url string, html string")
+    assert [r.bad for r in page_labels(pages).collect()] == [1, 1]
+    assert time.perf_counter() - start < 60
+
+
 def test_pages_are_labelled_by_their_own_text(spark):
     from docwatch.llm.queries import page_labels
 

@@ -26,6 +26,7 @@ ONE_ROW_EACH = {
     "minhash": lambda docs: minhash.near_groups(docs, minhash.MinHash(width=2)),
     "lm": lambda docs: maxent_lm.score_texts(docs, SMALL),
     "sharding": lambda docs: sharding.shard_documents(docs, 4, 64)[0],
+    "passages": substring_dedup.without_passages,
 }
 OTHERS = {
     "packing": lambda docs: packing.pack(docs, packing.public_encoder()),
