@@ -19,6 +19,7 @@ from docwatch.plans import stages
 from docwatch.session import fresh_path
 from docwatch.sources import config
 from docwatch.sources.feeds import read_feed_entries
+from docwatch.sources.store import ItemStore
 from docwatch.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -192,6 +193,67 @@ def check_clusters(spark, sf_dir):
     return quality.check_clusters(clusters.withColumn("cluster_id", F.substring("cluster_id", 1, 3)))
 
 
+# ---- the store ----------------------------------------------------------------
+
+
+def _store(spark, sf_dir, rows) -> ItemStore:
+    store = ItemStore(spark, fresh_path(spark, "store"))
+    store.insert(rows)
+    return store
+
+
+@query
+def store_insert(spark, sf_dir):
+    """As items_insert: half of the items first, then all with changed ids and urls."""
+    rows = fx.plain_items(spark, sf_dir)
+    store = _store(spark, sf_dir, rows.filter(F.pmod(F.col("id").cast("long"), F.lit(2)) == 0))
+    renamed = rows.withColumns({"id": F.concat(F.lit("x"), "id"), "ts": F.col("ts") + F.expr("INTERVAL 1 HOUR")})
+    store.insert(rows.union(renamed).union(rows.withColumn("ts", F.col("ts") + F.expr("INTERVAL 2 HOURS"))))
+    return store.items().select("id", "url", epoch("ts"), "title", "text")
+
+
+def _updated_store(spark, sf_dir) -> ItemStore:
+    """Changes in two steps; the second holds where both set a row."""
+    rows = fx.items(spark, sf_dir)
+    store = _store(spark, sf_dir, rows.drop("true_lang"))
+    none = F.lit(None).cast("array<string>")
+    foreign = rows.filter(F.col("true_lang") != "en")
+    first = {"lang": F.lit("xx"), "lang_conf": F.lit(0.1).cast("float"), "topics": none, "keywords": none}
+    store.update(foreign.withColumns(first))
+    done = foreign.select(
+        "id", "ts", F.col("true_lang").alias("lang"), F.lit(0.5).cast("float").alias("lang_conf"),
+        F.when(F.col("true_lang") == "de", F.array("src")).alias("topics"), F.array("title").alias("keywords"),
+    )
+    store.update(done)
+    return store
+
+
+@query
+def store_update(spark, sf_dir):
+    return _updated_store(spark, sf_dir).items().select("id", "lang", rounded("lang_conf"), joined("topics"), joined("keywords"))
+
+
+@query
+def store_compact(spark, sf_dir):
+    store = _updated_store(spark, sf_dir)
+    store.compact()
+    store.vacuum(keep=1)
+    return store.items().select("id", "lang", rounded("lang_conf"), joined("topics"), joined("keywords"))
+
+
+@query
+def store_recent(spark, sf_dir):
+    store = _store(spark, sf_dir, fx.plain_items(spark, sf_dir))
+    return tables.scan_recent(store.recent(fx.AS_OF), fx.AS_OF).select("id", "content", joined("topics"), epoch("ts"))
+
+
+@query
+def store_retain(spark, sf_dir):
+    store = _store(spark, sf_dir, fx.plain_items(spark, sf_dir))
+    store.retain(fx.AS_OF)
+    return store.items().select("id", epoch("ts"), "title")
+
+
 # ---- dictionary -------------------------------------------------------------
 
 

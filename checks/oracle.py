@@ -740,5 +740,19 @@ def _digest() -> dict[str, str]:
     }
 
 
+def _store() -> dict[str, str]:
+    """The store holds the same table, however it is divided and versioned."""
+    plain = _tables()
+    same = {
+        "store_insert": "items_insert",
+        "store_update": "enrich_update",
+        "store_compact": "enrich_update",
+        "store_recent": "scan_recent",
+        "store_retain": "retain_recent",
+    }
+    return {name: plain[twin] for name, twin in same.items()}
+
+
 def all_sql() -> dict[str, str]:
-    return {**_tagging(), **_language(), **_tables(), **_text(), **_clustering(), **_summaries(), **_digest()}
+    parts = (_tagging(), _language(), _tables(), _store(), _text(), _clustering(), _summaries(), _digest())
+    return {name: sql for part in parts for name, sql in part.items()}

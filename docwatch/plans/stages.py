@@ -31,6 +31,7 @@ from docwatch.operators.tables import (
 from docwatch.operators.tagging import EMBED_THRESHOLD, item_text, tag_hybrid
 from docwatch.session import materialize
 from docwatch.sources.config import Dictionary
+from docwatch.sources.store import ItemStore
 
 
 def collect(
@@ -175,8 +176,22 @@ def run_stages(
         items = materialize(collect(items, entries, as_of, pages), "items")
     tags = enrich(items, book, vectors, anchors, s.method, s.threshold, s.enrich_limit, s.min_hits)
     tagged = materialize(tags, "items-enriched")
+    return _grouped_and_reported(before, tagged, tagged, clusters, as_of, vectors, raw_summaries, s)
+
+
+def _grouped_and_reported(
+    before: DataFrame,
+    tagged: DataFrame,
+    recent: DataFrame,
+    clusters: DataFrame,
+    as_of: datetime,
+    vectors: DataFrame | None,
+    raw_summaries: DataFrame | None,
+    s: Settings,
+) -> Run:
+    """The stages after enrichment; ``recent`` holds the look-back at least."""
     grouped = cluster(
-        tagged, clusters, as_of, vectors if s.link_vectors else None, s.hours, s.distance, s.min_size
+        recent, clusters, as_of, vectors if s.link_vectors else None, s.hours, s.distance, s.min_size
     )
     stored = materialize(grouped.clusters, "clusters")
     summed = materialize(summarize_shown(stored, tagged, as_of, s.per_topic, raw_summaries), "clusters-summarised")
@@ -189,6 +204,33 @@ def run_stages(
     return Run(tagged, summed, grouped.members, report, stats, path)
 
 
+def run_store(
+    store: ItemStore,
+    clusters: DataFrame,
+    as_of: datetime,
+    book: Dictionary,
+    entries: DataFrame | None = None,
+    pages: DataFrame | None = None,
+    vectors: DataFrame | None = None,
+    anchors: DataFrame | None = None,
+    raw_summaries: DataFrame | None = None,
+    settings: Settings = Settings(),
+) -> Run:
+    """:func:`run_stages` on a store: whole days go unread, new items are added, enrichment
+    writes narrow changes, and grouping opens the days of the look-back only."""
+    s = settings
+    before = store.items(version=store.version())
+    if s.keep_hours is not None:
+        store.retain(as_of, s.keep_hours)
+    if entries is not None:
+        store.insert(entries_to_items(entries, as_of, pages))
+    pending = scan_pending(store.items(), s.enrich_limit)
+    args = (book, vectors, anchors, s.method, s.threshold, s.min_hits)
+    store.update(enriched_rows(pending, *args, keep=["ts"]))
+    tagged, recent = store.items(), store.recent(as_of, s.hours)
+    return _grouped_and_reported(before, tagged, recent, clusters, as_of, vectors, raw_summaries, s)
+
+
 def run_stats(
     before: DataFrame, items: DataFrame, members: DataFrame, clusters: DataFrame, digest: DataFrame
 ) -> DataFrame:
