@@ -750,7 +750,8 @@ def _store() -> dict[str, str]:
         "store_recent": "scan_recent",
         "store_retain": "retain_recent",
     }
-    return {name: plain[twin] for name, twin in same.items()}
+    keyed = f"SELECT * FROM ({plain['stream_items']}) WHERE regexp_extract(url, '([0-9]+)$', 1)::BIGINT % 3 <> 0"
+    return {"stream_items_keyed": keyed, **{name: plain[twin] for name, twin in same.items()}}
 
 
 def all_sql() -> dict[str, str]:

@@ -49,14 +49,14 @@ def retain_recent(items: DataFrame, as_of: datetime, hours: int = LOOKBACK_HOURS
     return items.filter(F.col("ts") >= since(as_of, hours))
 
 
-def _url_key() -> Column:
+def url_key() -> Column:
     """The url, or a key of its own for rows without one (they never collide)."""
     return F.coalesce(
         F.concat(F.lit("url "), F.col("url")), F.concat(F.lit("id "), F.col("id"))
     )
 
 
-def _row_digest(rows: DataFrame) -> Column:
+def row_digest(rows: DataFrame) -> Column:
     """A digest of the row's columns, in the order of their names."""
     return F.md5(F.to_json(F.struct(*[F.col(c) for c in sorted(rows.columns)])))
 
@@ -71,11 +71,11 @@ def new_items(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     that covers the url, so rows with one id share their url and the two steps don't
     interfere.
     """
-    marked = incoming.withColumn("_digest", _row_digest(incoming))
-    narrow = marked.select("id", _url_key().alias("url_key"), F.struct("ts", "id", "_digest").alias("rank"))
+    marked = incoming.withColumn("_digest", row_digest(incoming))
+    narrow = marked.select("id", url_key().alias("url_key"), F.struct("ts", "id", "_digest").alias("rank"))
     by_id = narrow.groupBy("id").agg(F.min(F.struct("rank", "url_key")).alias("first"))
     fresh = by_id.join(existing.select("id"), "id", "left_anti").select("first.*")
-    taken = existing.filter(F.col("url").isNotNull()).select(_url_key().alias("url_key"))
+    taken = existing.filter(F.col("url").isNotNull()).select(url_key().alias("url_key"))
     unseen = fresh.join(taken, "url_key", "left_anti")
     winners = unseen.groupBy("url_key").agg(F.min("rank").alias("rank"))
     won = winners.select(F.col("rank.id").alias("id"), F.col("rank._digest").alias("_won"))
