@@ -351,6 +351,29 @@ def matched_keywords(spark, sf_dir):
     return tagging.matched_keywords(fx.plain_items(spark, sf_dir), fx.BOOK).select("id", joined("keywords"))
 
 
+def _large_book(spark, sf_dir) -> config.Dictionary:
+    """Words and phrases of every document as the terms of its source."""
+    docs = fx.table(spark, sf_dir, "documents")
+    words = F.split("text", " ")
+    word = lambda i: F.when(F.get(words, F.lit(i)).rlike("^[A-Za-z]{2,}$"), F.get(words, F.lit(i)))
+    parts = [("keyword", word(i)) for i in (1, 2, 3, 4)]
+    parts += [("exclude", F.concat(word(9), F.lit(" "), word(10))), ("negative", F.concat(word(14), F.lit(" "), word(15)))]
+    listed = F.array(*[F.struct(F.lit(k).alias("kind"), F.lit(i).alias("place"), t.alias("term")) for i, (k, t) in enumerate(parts)])
+    raw = docs.select(F.col("source").alias("topic"), (F.col("doc_id") * 10).alias("first"), F.explode(listed).alias("t"))
+    raw = raw.select("topic", "t.kind", (F.col("first") + F.col("t.place")).cast("int").alias("ord"), "t.term")
+    topics = docs.select(F.col("source").alias("topic")).distinct()
+    names = [r.topic for r in topics.collect()]
+    return config.Dictionary.from_table(names, config.build_terms(raw.filter("term is not null"), topics))
+
+
+@query
+def tag_large_dictionary(spark, sf_dir):
+    """A dictionary that grows with the documents, by the automaton."""
+    book = _large_book(spark, sf_dir)
+    found = tagging.text_evidence(fx.plain_items(spark, sf_dir), book)
+    return found.select("id", joined("topics"), joined("keywords"), joined("negatives"))
+
+
 @query
 def anchor_scores(spark, sf_dir):
     scores = tagging.anchor_scores(fx.vectors(spark, sf_dir), fx.anchors(spark, sf_dir))

@@ -147,6 +147,7 @@ def _tagging() -> dict[str, str]:
             *EVIDENCE,
             body="SELECT topic, count(*) AS n_items FROM (SELECT unnest(kw) AS topic FROM evidence) GROUP BY topic",
         ),
+        "tag_large_dictionary": _large_dictionary(),
         "tag_keywords": with_items(*EVIDENCE, body=f"SELECT id, {joined('kw')} AS topics FROM evidence"),
         "tag_min_hits": with_items(
             *EVIDENCE, body=f"SELECT id, {joined(_picked(_kw_flags(2)))} AS topics FROM evidence"
@@ -216,6 +217,37 @@ def _tagging() -> dict[str, str]:
 # ---- language ---------------------------------------------------------------
 
 
+def _large_dictionary() -> str:
+    """Each term against each text; short terms, all of letters here, against the words of the text."""
+    places = [("keyword", i, None) for i in (1, 2, 3, 4)] + [("exclude", 9, 10), ("negative", 14, 15)]
+    good = "regexp_full_match({0}, '[A-Za-z]{{2,}}')"
+    picks = []
+    for at, (kind, a, b) in enumerate(places):
+        words = [f"u[{i + 1}]" for i in (a, b) if i is not None]
+        term = " || ' ' || ".join(words)
+        test = " AND ".join(good.format(w) for w in words)
+        picks.append(f"SELECT source AS topic, '{kind}' AS kind, doc_id * 10 + {at} AS ord, {term} AS term FROM cut WHERE {test}")
+    return with_items(
+        f"texts AS (SELECT id, {MATCH} AS m, {LEET} AS l FROM items)",
+        "cut AS (SELECT doc_id, source, string_split(text, ' ') AS u FROM documents)",
+        f"terms AS (SELECT topic, kind, term, min(ord) AS ord FROM ({' UNION ALL '.join(picks)}) GROUP BY topic, kind, term)",
+        "forms AS (SELECT DISTINCT kind, lower(term) AS f FROM terms)",
+        f"tokens AS (SELECT id, unnest(list_distinct(regexp_extract_all(m, '[{W}]+'))) AS f FROM texts)",
+        """in_match AS (SELECT id, f FROM tokens WHERE length(f) < 6
+            UNION SELECT id, f FROM texts, (SELECT DISTINCT f FROM forms WHERE kind <> 'negative') WHERE (length(f) >= 6 OR contains(f, ' ')) AND contains(m, f))""",
+        "in_leet AS (SELECT id, f FROM texts, (SELECT DISTINCT f FROM forms WHERE kind <> 'exclude') WHERE contains(l, f))",
+        """hit AS (SELECT DISTINCT id, topic FROM terms JOIN in_match ON f = lower(term) WHERE kind = 'keyword'
+            EXCEPT SELECT DISTINCT id, topic FROM terms JOIN in_match ON f = lower(term) WHERE kind = 'exclude')""",
+        "neg AS (SELECT DISTINCT id, topic FROM terms JOIN in_leet ON f = lower(term) WHERE kind = 'negative')",
+        """spelled AS (SELECT id, topic, ord, term FROM hit JOIN terms USING (topic) JOIN in_leet USING (id)
+            WHERE kind = 'keyword' AND f = lower(term))""",
+        "once AS (SELECT id, term, min((topic, ord)) AS place FROM spelled GROUP BY id, term)",
+        body="""SELECT id, coalesce((SELECT string_agg(topic, '|' ORDER BY topic) FROM hit WHERE hit.id = texts.id), '') AS topics,
+            coalesce((SELECT string_agg(term, '|' ORDER BY place) FROM once WHERE once.id = texts.id), '') AS keywords,
+            coalesce((SELECT string_agg(topic, '|' ORDER BY topic) FROM neg WHERE neg.id = texts.id), '') AS negatives FROM texts""",
+    )
+
+
 def _languages() -> list[str]:
     names = sorted(PROFILES)
     hits = ", ".join(f"len(list_filter(tok, lambda t: list_contains({listed(PROFILES[n])}, t))) AS {n}" for n in names)

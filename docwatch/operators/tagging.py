@@ -15,6 +15,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docwatch.functions.terms import TopicForms, tagger
 from docwatch.functions.text import (
     WORD_CLASS,
     fold_rare,
@@ -33,8 +34,8 @@ EMBED_THRESHOLD = 0.42
 STRONG_MARGIN = 0.05
 METHODS = ("hybrid", "keywords", "embedding")
 
-# Longer term lists move from OR-chains into literal arrays, so that the plan
-# and its generated code don't grow with the dictionary.
+# A dictionary of more terms is matched by one automaton, so that neither the plan
+# nor the cost of a text grows with it; the result is the same.
 INLINE_TERMS = 64
 MAX_ANCHORS = 10_000
 
@@ -89,27 +90,12 @@ def term_hit(text: Column, term: str) -> Column:
     return text.contains(term) & text.rlike(bounded_pattern(term))
 
 
-def _literal_array(values: Iterable[str]) -> Column:
-    return F.array(*[F.lit(v) for v in values])
-
-
 def any_contained(text: Column, fragments: Sequence[str]) -> Column:
-    if not fragments:
-        return F.lit(False)
-    if len(fragments) > INLINE_TERMS:
-        return F.exists(_literal_array(fragments), lambda f: text.contains(f))
-    return reduce(or_, [text.contains(f) for f in fragments])
+    return reduce(or_, [text.contains(f) for f in fragments]) if fragments else F.lit(False)
 
 
 def any_term_hit(text: Column, terms: Sequence[str]) -> Column:
-    if not terms:
-        return F.lit(False)
-    if len(terms) <= INLINE_TERMS:
-        return reduce(or_, [term_hit(text, t) for t in terms])
-    whole = [t for t in terms if is_substring_term(t)]
-    short = [bounded_pattern(t) for t in terms if not is_substring_term(t)]
-    hit = any_contained(text, whole)
-    return hit | text.rlike("|".join(short)) if short else hit
+    return reduce(or_, [term_hit(text, t) for t in terms]) if terms else F.lit(False)
 
 
 def hit_count(text: Column, terms: Sequence[str]) -> Column:
@@ -127,7 +113,30 @@ def _collect_topics(flags: Iterable[tuple[str, Column]]) -> Column:
     return F.array_compact(F.array(*picks))
 
 
+def is_large(book: Dictionary) -> bool:
+    return book.size > INLINE_TERMS
+
+
+def all_tags(match: Column, leet: Column, book: Dictionary, min_hits: int = 1) -> Column:
+    """``topics, excluded, keywords, negatives`` as one struct, by one pass over each text."""
+    forms = [
+        TopicForms(
+            t.topic,
+            tuple(t.keyword_forms()),
+            tuple(not is_substring_term(f) for f in t.keyword_forms()),
+            tuple(t.exclude_forms()),
+            tuple(t.negative_forms()),
+            tuple((f, k) for f, k in ((leet_form(k), k) for k in t.keywords) if f),
+        )
+        for t in book.topics
+    ]
+    return tagger(forms, min_hits)(match, leet)
+
+
 def keyword_topics(text: Column, book: Dictionary, min_hits: int = 1) -> Column:
+    if is_large(book):
+        return all_tags(text, F.lit(None).cast("string"), book, min_hits)["topics"]
+
     def flag(t: TopicTerms) -> Column:
         terms = t.keyword_forms()
         hit = any_term_hit(text, terms) if min_hits <= 1 else hit_count(text, terms) >= min_hits
@@ -138,25 +147,22 @@ def keyword_topics(text: Column, book: Dictionary, min_hits: int = 1) -> Column:
 
 
 def excluded_topics(text: Column, book: Dictionary) -> Column:
+    if is_large(book):
+        return all_tags(text, F.lit(None).cast("string"), book)["excluded"]
     return _collect_topics((t.topic, any_contained(text, t.exclude_forms())) for t in book.topics)
 
 
 def negative_topics(leet: Column, book: Dictionary) -> Column:
+    if is_large(book):
+        return all_tags(F.lit(None).cast("string"), leet, book)["negatives"]
     return _collect_topics((t.topic, any_contained(leet, t.negative_forms())) for t in book.topics)
 
 
 def matched_terms(leet: Column, topics: Column, book: Dictionary) -> Column:
-    """Original spelling of every hit term of the tagged topics, in order."""
+    """Original spelling of every hit term of the tagged topics, in order; for small dictionaries."""
     def hits(t: TopicTerms) -> Column:
         pairs = [(leet_form(k), k) for k in t.keywords]
-        pairs = [(form, k) for form, k in pairs if form]
-        if len(pairs) > INLINE_TERMS:
-            table = F.array(
-                *[F.struct(F.lit(f).alias("form"), F.lit(k).alias("term")) for f, k in pairs]
-            )
-            kept = F.filter(table, lambda p: leet.contains(p["form"]))
-            return F.transform(kept, lambda p: p["term"])
-        return F.array_compact(F.array(*[F.when(leet.contains(f), F.lit(k)) for f, k in pairs]))
+        return F.array_compact(F.array(*[F.when(leet.contains(f), F.lit(k)) for f, k in pairs if f]))
 
     none = F.array().cast("array<string>")
     lists = [
@@ -167,6 +173,16 @@ def matched_terms(leet: Column, topics: Column, book: Dictionary) -> Column:
     return F.array_distinct(F.concat(none, *lists)) if lists else none
 
 
+def with_text_tags(texts: DataFrame, book: Dictionary, min_hits: int = 1) -> DataFrame:
+    """Adds ``topics, keywords, negatives`` to rows with ``match_text`` and ``leet_text``."""
+    match, leet = F.col("match_text"), F.col("leet_text")
+    if is_large(book):
+        found = texts.withColumn("_tags", all_tags(match, leet, book, min_hits))
+        return found.withColumns({c: F.col("_tags")[c] for c in ("topics", "keywords", "negatives")}).drop("_tags")
+    tagged = texts.withColumn("topics", keyword_topics(match, book, min_hits))
+    return tagged.withColumns({"keywords": matched_terms(leet, F.col("topics"), book), "negatives": negative_topics(leet, book)})
+
+
 def tag_keywords(items: DataFrame, book: Dictionary, min_hits: int = 1) -> DataFrame:
     """``id, topics``: topics with at least ``min_hits`` keyword hits."""
     texts = with_match_texts(items.select("id", "title", "text"))
@@ -188,14 +204,13 @@ def text_evidence(
     """
     needed = dict.fromkeys(["id", "title", "text", *keep])
     texts = with_match_texts(items.select(*needed))
-    tagged = texts.withColumn("topics", keyword_topics(F.col("match_text"), book, min_hits))
-    leet = F.col("leet_text")
+    tagged = with_text_tags(texts, book, min_hits)
     return tagged.select(
         "id",
         "topics",
-        matched_terms(leet, F.col("topics"), book).alias("keywords"),
-        negative_topics(leet, book).alias("negatives"),
-        (leet != "").alias("has_text"),
+        "keywords",
+        "negatives",
+        (F.col("leet_text") != "").alias("has_text"),
         *[c for c in keep if c != "id"],
     )
 

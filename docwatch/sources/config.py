@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from docwatch.functions.text import leet_form, match_form, strip
 from docwatch.schema import TERMS, TERM_KINDS
 
-# A dictionary is configuration written by people. It travels inside the plan,
-# so its size is checked before it is brought to the driver.
-MAX_TERMS = 50_000
+# A dictionary is configuration. It travels with the function that matches it and
+# every Python worker holds it, so its size is checked before it comes to the driver:
+# so many terms take about a gigabyte there.
+MAX_TERMS = 2_000_000
 
 
 def feed_sources(rss: DataFrame, reddit: DataFrame) -> DataFrame:

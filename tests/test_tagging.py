@@ -1,9 +1,13 @@
 import re
+import time
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from docwatch.functions.text import match_form
+from docwatch.functions import terms
+from docwatch.functions.text import leet_form, match_form
 from docwatch.operators import tagging
 from docwatch.sources.config import Dictionary
 
@@ -135,3 +139,81 @@ def test_tagging_needs_no_shuffle(spark):
     rows = spark.createDataFrame([("1", "Token", "a secret")], ITEM)
     plan = tagging.tag_hybrid(rows, BOOK)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and plan.count("ArrowEvalPython") <= 1
+
+
+def python_tags(book, match, leet, min_hits=1):
+    topics, excluded, negatives, keywords = [], [], [], []
+    for t in book.topics:
+        out = any(f in match for f in t.exclude_forms())
+        hit = sum(python_hit(match, f) for f in t.keyword_forms()) >= min_hits and t.keyword_forms() and not out
+        excluded += [t.topic] * out
+        topics += [t.topic] * bool(hit)
+        negatives += [t.topic] * any(f in leet for f in t.negative_forms())
+        keywords += [k for k in t.keywords if hit and leet_form(k) and leet_form(k) in leet]
+    return {"topics": topics, "excluded": excluded, "keywords": list(dict.fromkeys(keywords)), "negatives": negatives}
+
+
+def matcher_of(book, min_hits=1):
+    packed = []
+    for t in book.topics:
+        forms = t.keyword_forms()
+        spelled = tuple((f, k) for f, k in ((leet_form(k), k) for k in t.keywords) if f)
+        bounded = tuple(not tagging.is_substring_term(f) for f in forms)
+        packed.append(terms.TopicForms(t.topic, forms, bounded, t.exclude_forms(), t.negative_forms(), spelled))
+    return terms.Matcher(packed, min_hits)
+
+
+WORDS = st.text(alphabet="ab1_- é漢+.x", min_size=1, max_size=7).filter(str.strip)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(WORDS, min_size=1, max_size=8), st.lists(WORDS, max_size=4), st.lists(WORDS, max_size=3), st.text(alphabet="ab1_- é漢+.x", max_size=60), st.integers(1, 3))
+def test_automaton_follows_the_rule(keywords, more, others, text, min_hits):
+    lists = {"keyword": {"a": keywords, "b": more}, "exclude": {"b": others[:1]}, "negative": {"a": others, "b": keywords[:1]}}
+    book = Dictionary.from_lists(["a", "b", "c"], lists)
+    match, leet = match_form(text), leet_form(text)
+    assert matcher_of(book, min_hits).tags(match, leet) == python_tags(book, match, leet, min_hits)
+
+
+def test_word_borders_equal_the_column_rule(spark, monkeypatch):
+    book = Dictionary.from_lists(["t"], {"keyword": {"t": [k for _, k in CASES]}})
+    rows = spark.createDataFrame([(str(i), "", t) for i, (t, _) in enumerate(CASES)], ITEM)
+    small = sorted(map(str, tagging.text_evidence(rows, book).collect()))
+    monkeypatch.setattr(tagging, "INLINE_TERMS", 0)
+    assert sorted(map(str, tagging.text_evidence(rows, book).collect())) == small
+    for fn in (tagging.tag_keywords, tagging.exclude_topics):
+        assert fn(rows, book).count() == len(CASES)
+
+
+def many_terms(n):
+    return Dictionary.from_lists(["t", "u"], {"keyword": {"t": [f"term{i}x" for i in range(n)], "u": [f"q{i}" for i in range(n // 10)]}, "negative": {"u": ["term7x"]}})
+
+
+def test_two_hundred_thousand_terms(spark):
+    rows = spark.createDataFrame([("1", "", "a term199999x and term7x, q5"), ("2", "", "nothing q 5")] * 50, ITEM)
+    table = spark.createDataFrame(
+        [("t", "keyword", i, f"term{i}x") for i in range(200_000)] + [("u", "keyword", 1, "q5")], "topic string, kind string, ord int, term string"
+    )
+    book = Dictionary.from_table(["t", "u"], table)
+    assert book.size == 200_001
+    found = tagging.text_evidence(rows, book)
+    got = {r.id: (r.topics, r.keywords) for r in found.collect()}
+    assert got == {"1": (["t", "u"], ["term7x", "term199999x", "q5"]), "2": ([], [])}
+    few = tagging.text_evidence(rows, many_terms(100))
+    size = lambda frame: len(frame._jdf.queryExecution().optimizedPlan().toString())
+    assert abs(size(found) - size(few)) < 50
+
+
+def test_cost_of_a_text_does_not_follow_the_dictionary():
+    text = " ".join(f"word{i} some more text" for i in range(20_000))
+
+    def cost(book):
+        matcher = matcher_of(book)
+        best = 1e9
+        for _ in range(5):
+            start = time.perf_counter()
+            matcher.tags(text, text)
+            best = min(best, time.perf_counter() - start)
+        return best
+
+    assert cost(many_terms(100_000)) < 5 * cost(many_terms(1_000))
