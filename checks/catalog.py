@@ -478,8 +478,8 @@ def choose_k(spark, sf_dir):
 
 @query
 def cluster_tfidf_(spark, sf_dir):
-    """Five rounds, as many as the SQL has; the stages run until labels settle."""
-    return cluster_tfidf(fx.as_recent(fx.items(spark, sf_dir)), rounds=5)
+    """Until labels settle. The SQL has more rounds than the small tables take; those after the last change nothing."""
+    return cluster_tfidf(fx.as_recent(fx.items(spark, sf_dir)))
 
 
 @query

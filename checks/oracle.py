@@ -438,7 +438,10 @@ def rollup(label: str, as_of: int, name: str, summary: str = "NULL") -> str:
         GROUP BY label HAVING count(*) >= 3)"""
 
 
-def _kmeans(rounds: int = 5) -> list[str]:
+KMEANS_ROUNDS = 12
+
+
+def _kmeans(rounds: int = KMEANS_ROUNDS) -> list[str]:
     """CTEs of the fixed number of rounds; a finished run gives the same labels again."""
     ctes = [
         "keyed AS (SELECT id, md5(content) AS point FROM docs)",
@@ -485,7 +488,7 @@ def _clustering() -> dict[str, str]:
             body="SELECT id, term, round(w / norm, 6) AS weight FROM raw JOIN norms USING (id)",
         ),
         "cluster_tfidf": with_items(
-            *_TOKENS, *_kmeans(), body="SELECT id, CAST(label AS INT) AS label FROM keyed JOIN l5 USING (point)"
+            *_TOKENS, *_kmeans(), body=f"SELECT id, CAST(label AS INT) AS label FROM keyed JOIN l{KMEANS_ROUNDS} USING (point)"
         ),
         "choose_k": f"""WITH parts AS (SELECT source AS part, count(*) AS n_docs FROM documents GROUP BY source
             UNION ALL SELECT 'all', count(*) FROM documents) SELECT part, n_docs, {_K} AS k FROM parts""",
