@@ -243,7 +243,8 @@ units AS (
   FROM placed GROUP BY r, line_no
   UNION ALL
   SELECT 1, r, phrase_no, string_agg(lower_word, ' ' ORDER BY i), count(*), min(start), max(start + n) FROM placed GROUP BY r, phrase_no),
-numbered AS (SELECT units.*, doc_id, row_number() OVER (PARTITION BY units.r, kind ORDER BY no) AS place FROM units JOIN d USING (r)),
+numbered AS (SELECT units.*, doc_id, row_number() OVER (PARTITION BY units.r, kind ORDER BY no) AS place
+             FROM units JOIN d USING (r) WHERE kind = 0 OR n_words >= 3),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY kind, u ORDER BY doc_id, place) AS nth FROM numbered),
 again AS (SELECT *, place - row_number() OVER (PARTITION BY r, kind ORDER BY place) AS run FROM ranked WHERE nth > 1),
 runs AS (SELECT r, min(start) AS start, max(stop) AS stop FROM again GROUP BY r, kind, run HAVING sum(n_words) >= 30),

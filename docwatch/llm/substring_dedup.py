@@ -8,9 +8,13 @@ the original text is reported, so nothing about the original is lost.
 A passage may stand inside a line, or across line ends that differ.
 :func:`without_passages` therefore cuts a text twice, into lines and into phrases: a
 phrase ends after each word whose own digest falls into a fifth of all digests, so
-equal passages are cut alike wherever they stand. Neighbouring repeated units are
-joined to runs, and runs of ``min_words`` words go. Of a passage, the words before
-its first and after its last phrase end may stay: four on either side on average.
+equal passages are cut alike wherever they stand. Phrases of one or two words aren't
+compared: they are very common and tell nothing. Neighbouring repeated units are
+joined to runs, and runs of ``min_words`` words go, with the short phrases between. Of
+a passage, the words before its first and after its last compared phrase may stay:
+five on either side on average. These units have digests of 64 bits: among ``n``
+different units about ``n * n / 2 ** 65`` pairs look alike, and a run of phrases is many
+units, which would all have to.
 
 Only digests are shuffled, and texts once more where something is taken out. The
 first occurrence is a minimum and so combines before the shuffle; where a digest is
@@ -148,13 +152,14 @@ def _cut(text: str | None, spans: list[dict] | None, separator: int) -> str | No
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _BLANK = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
-PASSAGE_UNITS = "kind int, place long, start long, length long, n_words long, high long, low long"
+PASSAGE_UNITS = "kind int, place long, start long, length long, n_words long, digest long"
+LEAST_PHRASE = 3
 
 
 def passage_units(docs: DataFrame) -> DataFrame:
-    """``doc_id, text_hash, kind, place, start, length, n_words, high, low``: all lines and phrases.
+    """``doc_id, text_hash, kind, place, start, length, n_words, digest``: lines, and phrases that are compared.
 
-    ``place`` counts the units of a kind in a text, without blank lines; a unit
+    ``place`` counts these units of a kind in a text, without blank lines; a unit
     reaches from its first to its last word, in code points of the original text.
     """
     id_type = docs.schema["doc_id"].dataType.simpleString()
@@ -184,7 +189,7 @@ def _cut_both(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         return
     known = words.dictionary.cast(pa.large_binary()).to_pylist()
     ends_phrase = np.array([hashlib.md5(w).hexdigest()[: len(PHRASE_END)] < PHRASE_END for w in known])[code]
-    pairs = np.frombuffer(b"".join(xxhash.xxh3_128_digest(w) for w in known), dtype=np.uint64).reshape(-1, 2)
+    hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in known], dtype=np.uint64)[code]
     # where words lie: bytes first, then code points and line numbers of their texts
     chars = np.frombuffer(raw, dtype=np.uint8)
     blank = _BLANK[chars]
@@ -204,10 +209,12 @@ def _cut_both(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         first = np.flatnonzero(opening)
         n = np.diff(np.append(first, len(code)))
         seat = (np.arange(len(code)) - np.repeat(first, n)).astype(np.uint64)
-        digest = [np.add.reduceat(_mixed(pairs[code, j] + (2 * seat + np.uint64(kind)) * _STEP), first) for j in (0, 1)]
+        digest = _mixed(np.add.reduceat(_mixed(hashes + (2 * seat + np.uint64(kind)) * _STEP), first) + n.astype(np.uint64))
+        long_enough = n >= (LEAST_PHRASE if kind == PHRASE else 1)
+        first, n, digest = first[long_enough], n[long_enough], digest[long_enough]
         who = owner[first]
         unit = np.arange(len(first))
-        place = unit - np.maximum.accumulate(np.where(new_text[first], unit, 0))
+        place = unit - np.searchsorted(who, who, side="left")
         rows = pa.array(who)
         yield pa.RecordBatch.from_arrays(
             [
@@ -218,9 +225,9 @@ def _cut_both(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
                 pa.array(start[first]),
                 pa.array(stop[first + n - 1] - start[first]),
                 pa.array(n),
-                *[pa.array(d.view(np.int64)) for d in digest],
+                pa.array(digest.view(np.int64)),
             ],
-            names=["doc_id", "text_hash", "kind", "place", "start", "length", "n_words", "high", "low"],
+            names=["doc_id", "text_hash", "kind", "place", "start", "length", "n_words", "digest"],
         )
 
 
@@ -237,14 +244,14 @@ def repeated_runs(docs: DataFrame, min_words: int = RUN_WORDS) -> DataFrame:
     """``doc_id, text_hash, start, length, n_words``: runs of units that stay elsewhere, lines and phrases apart."""
     units = materialize(passage_units(docs), "passage-units")
     key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "place")
-    groups = units.groupBy("high", "low").agg(F.count("*").alias("n"), F.min(key).alias("first")).filter("n > 1")
-    groups = materialize(groups.select("high", "low", "first"), "repeats")
-    gone = units.join(groups, ["high", "low"]).filter(key != F.col("first"))
-    rows = gone.groupBy("doc_id", "text_hash", "kind", "place").agg(
-        F.min("start").alias("start"), F.min("length").alias("length"), F.min("n_words").alias("n_words")
-    )
-    before = Window.partitionBy("doc_id", "text_hash", "kind").orderBy("place")
-    runs = rows.withColumn("run", F.col("place") - F.row_number().over(before)).groupBy("doc_id", "text_hash", "kind", "run")
+    groups = units.groupBy("digest").agg(F.count("*").alias("n"), F.min(key).alias("first")).filter("n > 1")
+    groups = materialize(groups.select("digest", "first"), "repeats")
+    gone = units.join(groups, "digest").filter(key != F.col("first")).drop("digest", "first")
+    # one shuffle by text and kind serves both windows and the runs
+    along = Window.partitionBy("doc_id", "text_hash", "kind").orderBy("place")
+    # rows alike in id and text have the same units twice
+    once = gone.withColumn("before", F.lag("place").over(along)).filter(~F.col("place").eqNullSafe(F.col("before")))
+    runs = once.withColumn("run", F.col("place") - F.row_number().over(along)).groupBy("doc_id", "text_hash", "kind", "run")
     spans = runs.agg(
         F.min("start").alias("start"), F.max(F.col("start") + F.col("length")).alias("stop"), F.sum("n_words").alias("n_words")
     )

@@ -426,6 +426,8 @@ def _passages_by_hand(docs, least):
                     number = this
                 groups[-1].append((a, b, w))
             for g in groups:
+                if kind and len(g) < 3:
+                    continue
                 key = (kind, " ".join(x[2] for x in g))
                 units[doc_id, kind].append((g[0][0], g[-1][1], len(g), first.setdefault(key, (doc_id, g[0][0])) == (doc_id, g[0][0])))
     out = {}
