@@ -200,7 +200,7 @@ lines AS (SELECT r, host, k, line,
 filled AS (SELECT *, len(string_split(norm, ' ')) AS lw FROM lines WHERE norm <> ''),
 dups AS (SELECT r, count(*) - count(DISTINCT line) AS n FROM filled GROUP BY r),
 texts AS (SELECT host, count(DISTINCT k) AS n_texts FROM filled GROUP BY host),
-spread AS (SELECT host, norm, count(DISTINCT k) AS n FROM filled WHERE lw <= 40 GROUP BY host, norm),
+spread AS (SELECT host, norm, count(DISTINCT k) AS n FROM filled GROUP BY host, norm),
 common AS (SELECT host, norm FROM spread JOIN texts USING (host) WHERE n > 4 AND n > 0.02::DOUBLE * n_texts),
 lost AS (SELECT f.r, sum(CASE WHEN c.norm IS NULL THEN 0 ELSE lw END)::DOUBLE / sum(lw) AS share
          FROM filled f LEFT JOIN common c ON f.host = c.host AND f.norm = c.norm GROUP BY f.r),

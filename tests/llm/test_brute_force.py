@@ -482,7 +482,7 @@ def test_passages_inside_lines_and_across_line_ends(spark):
 
 def test_passages_of_the_small_table(few):
     texts = [(r.doc_id, r.text) for r in few.collect()]
-    wanted = _passages_by_hand(texts, 30)
+    wanted = _passages_by_hand(texts, substring_dedup.RUN_WORDS)
     got = {r.doc_id: r for r in substring_dedup.without_passages(few).collect()}
     assert {i: sum(s.length for s in r.removed) for i, r in got.items()} == {i: len(g) for i, g in wanted.items()}
     assert any(r.removed for r in got.values())
