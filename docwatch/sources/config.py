@@ -12,8 +12,7 @@ from docwatch.functions.text import leet_form, match_form, strip
 from docwatch.schema import TERMS, TERM_KINDS
 
 # A dictionary is configuration. It travels with the function that matches it and
-# every Python worker holds it, so its size is checked before it comes to the driver:
-# so many terms take about a gigabyte there.
+# every Python worker holds it, so its size is checked before it comes to the driver.
 MAX_TERMS = 2_000_000
 
 
