@@ -333,6 +333,23 @@ def test_language_model(spark):
     assert gain > 0.05
 
 
+def test_model_is_the_same_under_any_partitioning(spark):
+    """Files, partitions and batches don't matter, with one shard and with many."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    for shard_tokens in (1 << 22, 20_000):
+        shape = maxent_lm.Shape(lookup=2048, clustered=1024, shard_tokens=shard_tokens)
+        scores = []
+        for parts, batch in ((1, 10_000), (16, 37)):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+            try:
+                rows = maxent_lm.score_texts(docs.repartition(parts), shape).collect()
+            finally:
+                spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+            scores.append({r.doc_id: r.score for r in rows})
+        assert scores[0].keys() == scores[1].keys()
+        assert all(abs(s - scores[1][i]) <= 1e-6 * max(1, abs(s)) for i, s in scores[0].items())
+
+
 def test_probabilities_sum_to_one(spark):
     """Over all known words and one unknown word per class, after any text."""
     docs = spark.createDataFrame(
