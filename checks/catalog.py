@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 from checks import fixture as fx
 from docwatch.functions import text as tx
 from docwatch.functions.arrays import explode_rows
-from docwatch.operators import collect, digest, features, language, quality, rollup
+from docwatch.operators import collect, digest, features, language, language_profiles, quality, rollup
 from docwatch.operators import summaries as sm
 from docwatch.operators import tables, tagging
 from docwatch.operators.kmeans import cluster_tfidf
 from docwatch.operators.linkage import cluster_embeddings, similarity_components
 from docwatch.plans import stages
-from docwatch.session import fresh_path
+from docwatch.session import fresh_path, materialize
 from docwatch.sources import config
 from docwatch.sources.feeds import read_feed_entries
 from docwatch.sources.store import ItemStore
@@ -433,6 +433,15 @@ def detect_language(spark, sf_dir):
     return found.select("id", "lang", rounded("lang_conf"))
 
 
+@query
+def detect_language_profiles(spark, sf_dir):
+    counts = language_profiles.count_profiles(fx.table(spark, sf_dir, "documents"))
+    profiles = language_profiles.Profiles.from_table(materialize(counts, "profiles"))
+    items = fx.plain_items(spark, sf_dir).select("id", tagging.item_text().alias("raw"))
+    found = language_profiles.with_profile_language(items, F.col("raw"), profiles)
+    return found.select("id", "lang", rounded("lang_conf"))
+
+
 @query
 def prefer_languages(spark, sf_dir):
     rows = fx.items(spark, sf_dir).withColumn("lang", F.col("true_lang"))

@@ -264,8 +264,41 @@ def _languages() -> list[str]:
     ]
 
 
+def _windows(text: str) -> str:
+    """Buckets of all three-letter windows of a text."""
+    letters = f"' ' || trim(regexp_replace(lower({text}), '[^\\p{{L}}]+', ' ', 'g')) || ' '"
+    points = f"list_transform(string_split({letters}, ''), lambda c: unicode(c))"
+    return (
+        f"list_transform(list_zip({points}, ({points})[2:], ({points})[3:]), "
+        "lambda w: (961 * w[1] + 31 * w[2] + w[3]) % 16381)"
+    )
+
+
+_PROFILED = (
+    f"""seen AS (SELECT lang, b, count(*) AS n FROM (
+          SELECT lang, unnest({_windows('text')}) AS b FROM documents WHERE lang IS NOT NULL)
+        WHERE b IS NOT NULL GROUP BY lang, b)""",
+    "totals AS (SELECT lang, sum(n) AS total FROM seen GROUP BY lang)",
+    """logs AS (SELECT t.lang, r.b, ln((coalesce(s.n, 0) + 0.5) / (t.total + 0.5 * 16381)) AS l
+        FROM totals t CROSS JOIN (SELECT unnest(range(16381)) AS b) r LEFT JOIN seen s ON s.lang = t.lang AND s.b = r.b)""",
+    "odds AS (SELECT lang, b, CAST(round(1000 * (l - avg(l) OVER (PARTITION BY b))) AS BIGINT) AS o FROM logs)",
+    f"""judged AS (SELECT id, b, count(*) AS n FROM (SELECT id, unnest({_windows(RAW)}) AS b FROM items)
+        WHERE b IS NOT NULL GROUP BY id, b)""",
+    "scores AS (SELECT id, lang, sum(n * o) AS score FROM judged JOIN odds USING (b) GROUP BY id, lang)",
+    """guesses AS (SELECT id, arg_max(lang, (score, -place)) AS lang, 1 / sum(exp((score - best) / 3000.0)) AS conf
+        FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY lang) AS place,
+                     max(score) OVER (PARTITION BY id) AS best FROM scores) GROUP BY id)""",
+)
+
+
 def _language() -> dict[str, str]:
     return {
+        "detect_language_profiles": with_items(
+            *_PROFILED,
+            body=f"""SELECT id, CASE WHEN {RAW} = '' THEN NULL ELSE coalesce(g.lang, 'und') END AS lang,
+                CASE WHEN {RAW} = '' THEN NULL ELSE round(coalesce(g.conf, 0.0), 6) END AS lang_conf
+                FROM items LEFT JOIN guesses g USING (id)""",
+        ),
         "detect_language": with_items(
             *_languages(), body="SELECT id, lang, round(conf, 6) AS lang_conf FROM languages"
         ),

@@ -14,6 +14,7 @@ from docwatch.operators.collect import entries_to_items
 from docwatch.operators.digest import TOP_PER_TOPIC, digest_html, digest_table, top_per_topic, topic_counts, write_digest
 from docwatch.operators.kmeans import cluster_tfidf
 from docwatch.operators.language import with_language
+from docwatch.operators.language_profiles import Profiles, with_profile_language
 from docwatch.operators.linkage import DISTANCE, cluster_embeddings
 from docwatch.operators.rollup import cluster_members, rollup_labels
 from docwatch.operators.summaries import summaries_for
@@ -50,10 +51,17 @@ def enriched_rows(
     threshold: float = EMBED_THRESHOLD,
     min_hits: int = 1,
     keep: Sequence[str] = (),
+    languages: Profiles | None = None,
 ) -> DataFrame:
-    """``id, lang, lang_conf, topics, keywords`` of the pending items."""
+    """``id, lang, lang_conf, topics, keywords`` of the pending items.
+
+    Languages come from ``languages``, or from function words where there are none.
+    """
     needed = dict.fromkeys(["id", "title", "text", *keep])
-    guessed = with_language(pending.select(*needed), item_text())
+    if languages is None:
+        guessed = with_language(pending.select(*needed), item_text())
+    else:
+        guessed = with_profile_language(pending.select(*needed), item_text(), languages)
     kept = [*keep, "lang", "lang_conf"]
     return tag_hybrid(guessed, book, vectors, anchors, method, threshold, min_hits, keep=kept)
 
@@ -67,6 +75,7 @@ def enrich(
     threshold: float = EMBED_THRESHOLD,
     limit: int | None = None,
     min_hits: int = 1,
+    languages: Profiles | None = None,
 ) -> DataFrame:
     """The items table with language and topics set on pending rows.
 
@@ -76,10 +85,10 @@ def enrich(
     """
     args = (book, vectors, anchors, method, threshold, min_hits)
     if limit is not None:
-        return enrich_update(items, enriched_rows(scan_pending(items, limit), *args))
+        return enrich_update(items, enriched_rows(scan_pending(items, limit), *args, languages=languages))
     fields = ("lang", "lang_conf", "topics", "keywords")
     others = [c for c in items.columns if c not in fields]
-    fresh = enriched_rows(items.filter(is_pending()), *args, keep=others)
+    fresh = enriched_rows(items.filter(is_pending()), *args, keep=others, languages=languages)
     typed = fresh.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in items.schema.fields])
     return items.filter(~is_pending()).unionByName(typed)
 
@@ -125,6 +134,7 @@ class Settings:
     method: str = "hybrid"
     threshold: float = EMBED_THRESHOLD
     min_hits: int = 1
+    languages: Profiles | None = None  # None guesses by function words
     link_vectors: bool = False
     distance: float = DISTANCE
     min_size: int = 3
@@ -174,7 +184,7 @@ def run_stages(
         items = retain_recent(items, as_of, s.keep_hours)
     if entries is not None:
         items = materialize(collect(items, entries, as_of, pages), "items")
-    tags = enrich(items, book, vectors, anchors, s.method, s.threshold, s.enrich_limit, s.min_hits)
+    tags = enrich(items, book, vectors, anchors, s.method, s.threshold, s.enrich_limit, s.min_hits, s.languages)
     tagged = materialize(tags, "items-enriched")
     return _grouped_and_reported(before, tagged, tagged, clusters, as_of, vectors, raw_summaries, s)
 
@@ -226,7 +236,7 @@ def run_store(
         store.insert(entries_to_items(entries, as_of, pages))
     pending = scan_pending(store.items(), s.enrich_limit)
     args = (book, vectors, anchors, s.method, s.threshold, s.min_hits)
-    store.update(enriched_rows(pending, *args, keep=["ts"]))
+    store.update(enriched_rows(pending, *args, keep=["ts"], languages=s.languages))
     tagged, recent = store.items(), store.recent(as_of, s.hours)
     return _grouped_and_reported(before, tagged, recent, clusters, as_of, vectors, raw_summaries, s)
 

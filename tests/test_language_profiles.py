@@ -1,0 +1,125 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from docwatch.operators.language import with_language
+from docwatch.operators.language_profiles import (
+    BUCKETS,
+    Profiles,
+    buckets_of,
+    calibrate,
+    count_profiles,
+    with_profile_language,
+)
+from docwatch.plans.stages import enrich
+from docwatch.sources.config import Dictionary
+
+LABELLED = "text string, lang string"
+
+
+def profiles_of(rows):
+    return Profiles.from_table(count_profiles(rows))
+
+
+def judged(spark, texts, profiles):
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    found = with_profile_language(rows, F.col("t"), profiles).orderBy("i").collect()
+    return [(r.lang, r.lang_conf) for r in found]
+
+
+@pytest.fixture(scope="module")
+def split(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    return docs.filter("crc32(cast(doc_id as string)) % 3 > 0"), docs.filter("crc32(cast(doc_id as string)) % 3 = 0")
+
+
+def test_windows_are_counted_per_language(spark):
+    rows = spark.createDataFrame([("Ab, c!", "x"), ("ab c", "x"), ("ab", "y")], LABELLED)
+    got = {(r.lang, r.bucket): r.n for r in count_profiles(rows).collect()}
+    def at(w):
+        return sum(f * ord(c) for f, c in zip((961, 31, 1), w)) % BUCKETS
+
+    want = {("x", at(w)): 2 for w in (" ab", "ab ", "b c", " c ")} | {("y", at(w)): 1 for w in (" ab", "ab ")}
+    assert got == want
+
+
+def test_held_out_accuracy_beats_function_words(split):
+    learn, test = split
+    profiles = profiles_of(learn)
+
+    def accuracy(found):
+        return found.agg(F.avg(F.coalesce(F.col("lang") == F.col("true"), F.lit(False)).cast("int"))).first()[0]
+
+    # short pieces, where function words are few
+    pieces = test.select(F.col("lang").alias("true"), F.substring("text", 1, 40).alias("t"))
+    by_profile = accuracy(with_profile_language(pieces, F.col("t"), profiles))
+    by_words = accuracy(with_language(pieces, F.col("t")))
+    assert by_profile > by_words and by_profile > 0.95
+    whole = test.select(F.col("lang").alias("true"), F.col("text").alias("t"))
+    assert accuracy(with_profile_language(whole, F.col("t"), profiles)) >= accuracy(with_language(whole, F.col("t")))
+
+
+def test_calibration_lowers_the_error(split):
+    learn, test = split
+    profiles = profiles_of(learn)
+    pieces = test.select("lang", F.substring("text", 1, 12).alias("text"))
+    fitted = calibrate(profiles, pieces)
+
+    def error(p):
+        found = with_profile_language(pieces.withColumnRenamed("lang", "true"), F.col("text"), p)
+        right = (F.col("lang") == F.col("true")).cast("double")
+        return found.agg(F.avg(F.pow(F.col("lang_conf") - right, F.lit(2)))).first()[0]
+
+    assert error(fitted) == min(error(fitted), error(profiles))
+
+
+def test_defined_cases(spark):
+    rows = spark.createDataFrame(
+        [("der hund und die katze", "de"), ("the dog and the cat", "en"), (None, "en"), ("words", None), ("...", "zz")],
+        LABELLED,
+    )
+    profiles = profiles_of(rows)
+    assert list(profiles.names) == ["de", "en"]
+    got = judged(spark, [None, "", "123 ...", "the cat", "THE CAT", "der Hund" * 50_000, "a"], profiles)
+    assert got[:3] == [(None, None), (None, None), ("und", 0.0)]
+    assert got[3] == got[4] and got[3][0] == "en"
+    assert got[5] == ("de", 1.0)
+    assert all(0 <= conf <= 1 for _, conf in got[2:])
+
+
+def test_no_profiles_know_nothing(spark):
+    nothing = profiles_of(spark.createDataFrame([], LABELLED))
+    assert judged(spark, ["the cat", None], nothing) == [("und", 0.0), (None, None)]
+
+
+def test_ties_go_to_the_first_name(spark):
+    same = profiles_of(spark.createDataFrame([("one two", "b"), ("one two", "a")], LABELLED))
+    assert judged(spark, ["one"], same) == [("a", 0.5)]
+
+
+def test_long_texts_are_summed_in_parts(spark):
+    profiles = profiles_of(spark.createDataFrame([("ab cd ef", "x"), ("gh ij", "y")], LABELLED))
+    text = " " + "ab cd gh " * 40_000
+    assert (profiles.sums(text) == profiles.odds[buckets_of(text)].astype(np.int64).sum(axis=0)).all()
+
+
+def test_partitioning_does_not_matter(spark, split):
+    learn, _ = split
+    one, many = (profiles_of(learn.repartition(n)) for n in (1, 7))
+    assert (one.odds == many.odds).all()
+
+
+def test_no_shuffle_when_judging(spark, split):
+    learn, test = split
+    found = with_profile_language(test, F.col("text"), profiles_of(learn))
+    assert "Exchange" not in found._jdf.queryExecution().toString()
+
+
+def test_enrichment_takes_profiles(spark):
+    profiles = profiles_of(spark.createDataFrame([("zzz yyy", "q1"), ("aaa bbb", "q2")], LABELLED))
+    items = spark.createDataFrame(
+        [("1", "zzz", "yyy", None, None, None, None)],
+        "id string, title string, text string, lang string, lang_conf double, topics array<string>, keywords array<string>",
+    )
+    book = Dictionary.from_lists(["t"], {"keyword": {"t": ["zzz yyy"]}})
+    assert enrich(items, book, languages=profiles).first().lang == "q1"
