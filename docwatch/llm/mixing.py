@@ -95,11 +95,14 @@ def _rate(cap: float) -> Column:
     return F.when(F.col("full"), F.lit(float(cap))).otherwise(F.least(F.lit(float(cap)), free))
 
 
-def solve_dual(cells: DataFrame, sources: DataFrame, cap: float = CAP, tilt: float = TILT) -> DataFrame:
+def solve_dual(
+    cells: DataFrame, sources: DataFrame, cap: float = CAP, tilt: float = TILT, steps: int = MAX_STEPS
+) -> DataFrame:
     """``cells`` with ``rate``: Newton steps on all sources' multipliers, one aggregation each.
 
     A step outside the bracket known so far is replaced by its middle, so every
-    source converges; steps end when each is within half a token of its target.
+    source converges; steps end when each is within half a token of its target. Where one still
+    isn't after ``steps`` of them, it raises.
     """
     z = F.pow(F.col("size") / F.col("mean"), F.lit(tilt))
     keep = cells.filter("size > 0").join(
@@ -111,7 +114,7 @@ def solve_dual(cells: DataFrame, sources: DataFrame, cap: float = CAP, tilt: flo
         "sid", lam.alias("lam"), F.lit(-400.0).alias("low"), F.lit(400.0).alias("high")
     )
     state = materialize(state, "multipliers")
-    for _ in range(MAX_STEPS):
+    for _ in range(steps):
         rate, tokens = _rate(cap), F.col("n") * F.col("size")
         slope = F.when(F.exp(F.least(F.col("lam") * F.col("z"), F.lit(50.0))) < cap, tokens * F.col("z") * rate)
         step = keep.filter("not full").join(state, "sid").groupBy("sid", "lam", "low", "high", "target").agg(
@@ -137,6 +140,8 @@ def solve_dual(cells: DataFrame, sources: DataFrame, cap: float = CAP, tilt: flo
         state = moved.drop("open")
         if not moved.filter("open").limit(1).collect():
             break
+    else:
+        raise RuntimeError(f"mix: a source still misses its target after {steps} steps")
     solved = keep.join(state, "sid", "left").withColumn("rate", _rate(cap))
     return solved.select("sid", "size", "n", "target", "rate")
 

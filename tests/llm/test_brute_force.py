@@ -368,6 +368,15 @@ def test_probabilities_sum_to_one(spark):
     assert np.isclose(model.class_probabilities(features, model.weights).sum(), 1.0)
 
 
+def test_a_mix_that_misses_its_target_raises(spark):
+    cells = spark.createDataFrame([(0, 10, 50), (0, 1000, 50)], "sid int, size long, n long")
+    sources = spark.createDataFrame([(0, 505.0, 12_345.0, 50_500)], "sid int, mean double, target double, source_size long")
+    solved = mixing.solve_dual(cells, sources, tilt=0.5)
+    assert abs(sum(r.n * r.size * r.rate for r in solved.collect()) - 12_345) <= 0.5
+    with pytest.raises(RuntimeError, match="after 1 steps"):
+        mixing.solve_dual(cells, sources, tilt=0.5, steps=1)
+
+
 # ---- sharding ----------------------------------------------------------------
 
 
