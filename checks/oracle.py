@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from checks.fixture import LISTS, TOPICS
 from docwatch.functions.stopwords import ENGLISH
-from docwatch.functions.text import HTML_ARTICLE, HTML_BLOCK, HTML_NOISE
 from docwatch.operators.language import PROFILES
 from docwatch.operators.summaries import PLACEHOLDERS
 
@@ -42,18 +41,69 @@ def plain_html(x: str) -> str:
     return f"regexp_replace({x}, '<[^>]+>', '', 'g')"
 
 
-def html_text(x: str) -> str:
-    """Readable text of an HTML column."""
-    quiet = f"regexp_replace({x}, {quoted(HTML_NOISE)}, ' ', 'g')"
-    article = f"nullif(regexp_extract({quiet}, {quoted(HTML_ARTICLE)}, 1), '')"
-    broken = f"regexp_replace(coalesce({article}, {quiet}), {quoted(HTML_BLOCK)}, chr(10), 'g')"
-    spaced = f"regexp_replace({plain_html(broken)}, '[ \\t\\r\\f]+', ' ', 'g')"
-    main = f"nullif({strip(f'regexp_replace({spaced}, {quoted(chr(32) + chr(63) + chr(92) + 'n[ ' + chr(92) + 'n]*')}, chr(10), {quoted('g')})')}, '')"
-    return (
-        f"CASE WHEN length({x}) >= 30 THEN nullif({strip(unescape(
-            f'''CASE WHEN contains({x}, '<') AND contains({x}, '>')
-            THEN coalesce({main}, {plain_html(x)}) ELSE {x} END'''))}, '') END"
-    )
+_RAW = r"(?is)<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)|<noscript\b.*?(?:</noscript\s*>|\z)|<!--.*?(?:-->|\z)"
+_ASIDE = ["head", "nav", "footer", "aside", "form"]
+_BOX = [*_ASIDE, "article", "main", "div", "section", "ul", "ol", "table", "blockquote"]
+_BLOCK = [*_BOX, "body", "p", "br", "li", "h1", "h2", "h3", "h4", "h5", "h6", "tr", "pre"]
+_NAMED = r"""\b(?:class|id)\s?=\s?("[^"]*"|'[^']*'|[^\s"'>]*)"""
+_HIDDEN = (
+    r"""(?i)(?:^|[\s"'])(?:ads?|advert|advertisement|breadcrumbs?|comments?|cookie|menu|newsletter|promo"""
+    r"""|related|share|sidebar|social)(?:$|[-_\s"'])"""
+)
+
+
+def html_texts(src: str) -> str:
+    """CTEs from ``src(k, x)`` to ``read_texts(k, t)``: readable text of markup.
+
+    The open boxes by recursion over a page's box tags, the best run by prefix sums.
+    """
+    spaced = "regexp_replace(body, '[ \\t\\r\\f]+', ' ', 'g')"
+    main = strip(f"regexp_replace({spaced}, ' ?\\n[ \\n]*', chr(10), 'g')")
+    solid = "length(regexp_replace(gap, '[ \\t\\n\\r\\f\\v]+', '', 'g'))"
+    return f"""marked AS (SELECT k, regexp_replace(x, {quoted(_RAW)}, ' ', 'g') AS q FROM {src}
+            WHERE length(x) >= 30 AND contains(x, '<') AND contains(x, '>')),
+        cuts AS (SELECT k, regexp_extract_all(q, '<[^>]+>') AS tags, string_split_regex(q, '<[^>]+>') AS gaps FROM marked),
+        tags AS (SELECT k, unnest(range(1, len(tags) + 1)) AS i, unnest(tags) AS tag FROM cuts),
+        named AS (SELECT k, i, tag, starts_with(tag, '</') AS closing,
+            lower(regexp_extract(tag, '^</?([A-Za-z][A-Za-z0-9]*)', 1)) AS name FROM tags),
+        kinds AS (SELECT k, i, closing, name, list_contains({listed(_BLOCK)}, name) AS is_block,
+            list_contains({listed(_BOX)}, name) OR (name = 'body' AND NOT closing) AS is_box,
+            list_contains({listed(_ASIDE)}, name) OR len(list_filter(regexp_extract_all(tag, {quoted('(?i)' + _NAMED)}, 1),
+                lambda v: regexp_matches(v, {quoted(_HIDDEN)}))) > 0 AS off FROM named),
+        boxes AS (SELECT k, name, closing, off, row_number() OVER (PARTITION BY k ORDER BY i) AS nth FROM kinds WHERE is_box),
+        opened AS (SELECT k, 0::BIGINT AS nth, []::VARCHAR[] AS stack FROM marked
+            UNION ALL
+            SELECT k, b.nth, CASE WHEN name = 'body' THEN []::VARCHAR[]
+                WHEN NOT closing THEN list_append(stack, name || CASE WHEN off THEN '!' ELSE '' END)
+                WHEN len(hits) = 0 THEN stack ELSE stack[1 : hits[-1] - 1] END
+            FROM (SELECT o.k, b.nth, name, closing, off, stack,
+                    list_filter(range(1, len(stack) + 1), lambda j: rtrim(stack[j], '!') = name) AS hits
+                  FROM opened o JOIN boxes b ON b.k = o.k AND b.nth = o.nth + 1) AS b),
+        around AS (SELECT k, nth AS box_no, len(list_filter(stack, lambda s: ends_with(s, '!'))) > 0 AS off,
+            len(list_filter(stack, lambda s: s IN ('article', 'main'))) > 0 AS inside FROM opened),
+        states AS (SELECT k, i, count(*) FILTER (is_block) OVER w AS block_no, count(*) FILTER (is_box) OVER w AS box_no,
+                last_value(CASE WHEN name = 'a' THEN NOT closing
+                    WHEN name = 'body' OR list_contains({listed(_BOX)}, name) THEN false END IGNORE NULLS) OVER w AS linked
+            FROM kinds WINDOW w AS (PARTITION BY k ORDER BY i)),
+        segments AS (SELECT k, unnest(range(0, len(gaps))) AS i, unnest(gaps) AS gap FROM cuts),
+        blocks AS (SELECT g.k, coalesce(block_no, 0) AS block_no, coalesce(box_no, 0) AS box_no,
+                string_agg(gap, '' ORDER BY i) AS txt, sum({solid}) AS n, sum(CASE WHEN linked THEN {solid} ELSE 0 END) AS n_linked
+            FROM segments g LEFT JOIN states USING (k, i) GROUP BY ALL),
+        scored AS (SELECT b.k, block_no, off, txt,
+                CASE WHEN off OR n = 0 THEN 0 ELSE n - 4 * n_linked - CASE WHEN inside THEN 0 ELSE 20 END END AS s
+            FROM blocks b JOIN around USING (k, box_no)),
+        sums AS (SELECT *, sum(s) OVER w AS p, sum(s) OVER w - s AS p0 FROM scored
+            WINDOW w AS (PARTITION BY k ORDER BY block_no, off ROWS UNBOUNDED PRECEDING)),
+        ends AS (SELECT *, min(p0) OVER (PARTITION BY k ORDER BY block_no ROWS UNBOUNDED PRECEDING) AS low FROM sums),
+        best AS (SELECT k, max(p - low) AS top, arg_min(block_no, (low - p, block_no)) AS stop,
+            arg_min(low, (low - p, block_no)) AS low FROM ends GROUP BY k),
+        chosen AS (SELECT e.k, top, stop, min(block_no) AS start FROM ends e JOIN best b ON e.k = b.k AND e.p0 = b.low
+            GROUP BY e.k, top, stop),
+        bodies_of AS (SELECT s.k, string_agg(txt, chr(10) ORDER BY block_no) AS body FROM scored s JOIN chosen c
+            ON s.k = c.k WHERE NOT off AND (top <= 0 OR block_no BETWEEN start AND stop) GROUP BY s.k),
+        read_texts AS (SELECT k, CASE WHEN length(x) >= 30 THEN nullif({strip(unescape(
+            f"CASE WHEN contains(x, '<') AND contains(x, '>') THEN coalesce(nullif({main}, ''), {plain_html('x')}) ELSE x END"))}, '') END AS t
+            FROM {src} LEFT JOIN bodies_of USING (k))"""
 
 
 ITEMS = """items AS (
@@ -402,26 +452,27 @@ def _tables() -> dict[str, str]:
 def _text() -> dict[str, str]:
     plain = f"""CASE WHEN length(html) >= 30 THEN nullif({strip(unescape(
         f"CASE WHEN contains(html, '<') AND contains(html, '>') THEN {plain_html('html')} ELSE html END"))}, '') END"""
-    marked = html_text("'<p>' || d.text || '</p>'")
-    page = html_text("html")
-    entries = f"""entries AS (SELECT d.doc_id AS n, source, d.text, html,
+    # only a link that is the page's own address finds the landed page
+    markup = """markup AS (SELECT 'd' || doc_id AS k, '<p>' || text || '</p>' AS x FROM documents WHERE doc_id % 4 = 0
+        UNION ALL SELECT 'p' || page_id, html FROM pages)"""
+    entries = f"""entries AS (SELECT d.doc_id AS n, source, d.text,
             CASE WHEN d.doc_id % 2 = 0 AND url IS NOT NULL THEN url
                  WHEN d.doc_id % 3 = 0 THEN 'urn:doc:' || d.doc_id ELSE url END AS url,
             CASE WHEN d.doc_id % 3 = 0 THEN 'urn:doc:' || d.doc_id END AS entry_id,
             CASE WHEN d.doc_id % 7 > 0 THEN left(split_part(d.text, chr(10), 1), 80) END AS title,
-            CASE WHEN d.doc_id % 4 = 0 THEN {marked}
+            CASE WHEN d.doc_id % 4 = 0 THEN t
                  WHEN d.doc_id % 4 = 1 AND length(d.text) >= 30 THEN nullif({strip('d.text')}, '')
                  END AS inline,
             1704067200 + (d.doc_id * 1601951) % 2592000 AS moment
-        FROM documents d LEFT JOIN pages ON page_id = d.doc_id)"""
-    # only a link that is the page's own address finds the landed page
-    bodies = f"""bodies AS (SELECT e.*, CASE WHEN inline IS NULL THEN {page.replace('html', 'p.html')} END AS page_text
-        FROM entries e LEFT JOIN pages p ON p.url = e.url)"""
+        FROM documents d LEFT JOIN pages ON page_id = d.doc_id LEFT JOIN read_texts ON k = 'd' || d.doc_id)"""
+    bodies = """bodies AS (SELECT e.*, CASE WHEN inline IS NULL THEN t END AS page_text
+        FROM entries e LEFT JOIN pages p ON p.url = e.url LEFT JOIN read_texts ON k = 'p' || page_id)"""
     whole = f"""whole AS (SELECT *, coalesce(inline, page_text, {strip(
         "coalesce(CASE WHEN n % 8 IN (2, 6) THEN text END, '')"
         )}) AS body FROM bodies)"""
     return {
-        "html_to_text": f"SELECT page_id, {html_text('html')} AS text FROM pages",
+        "html_to_text": f"""WITH RECURSIVE markup AS (SELECT page_id AS k, html AS x FROM pages), {html_texts('markup')}
+            SELECT page_id, t AS text FROM pages JOIN read_texts ON k = page_id""",
         "strip_html_tags": f"SELECT page_id, {plain} AS text FROM pages",
         "clean_text_cols": f"SELECT page_id, {clean('html')} AS text FROM pages",
         "normalize_for_match": f"SELECT doc_id, {strip('replace(lower(text), chr(223), chr(115) || chr(115))')} AS text FROM documents",
@@ -430,7 +481,7 @@ def _text() -> dict[str, str]:
         "short_body_report": with_items(
             body="SELECT id, url, length(text) AS n_chars FROM items WHERE length(text) < 400"
         ),
-        "entries_to_items": f"""WITH {entries}, {bodies}, {whole}
+        "entries_to_items": f"""WITH RECURSIVE {markup}, {html_texts('markup')}, {entries}, {bodies}, {whole}
             SELECT sha256(coalesce(nullif(concat_ws('|', nullif(url, ''), nullif(title, ''), entry_id), ''), body)) AS id,
                 'rss' AS src, url, CASE n % 20 WHEN 0 THEN moment - 7200 WHEN 4 THEN moment + 5 * 3600
                     WHEN 5 THEN moment // 60 * 60 WHEN 8 THEN moment // 86400 * 86400 WHEN 9 THEN 1704067200

@@ -7,6 +7,7 @@ import unicodedata
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docwatch.functions.main_text import RAW_ELEMENTS, main_blocks_array
 from docwatch.functions.python_text import (
     fold_unicode,
     unescape_html,
@@ -153,15 +154,6 @@ def text_lines(text: Column) -> Column:
 # ---- HTML to text -----------------------------------------------------------
 
 MIN_HTML_LENGTH = 30
-HTML_NOISE = (
-    r"(?is)<(?:(?:script\b.*?</script|style\b.*?</style|noscript\b.*?</noscript"
-    r"|head\b.*?</head|nav\b.*?</nav|footer\b.*?</footer|aside\b.*?</aside"
-    r"|form\b.*?</form)\s*>|!--.*?-->)"
-)
-HTML_ARTICLE = r"(?is)<article\b[^>]*>(.*)</article\s*>"
-HTML_BLOCK = (
-    r"(?i)</?(?:p|div|br|li|ul|ol|h[1-6]|tr|table|section|article|blockquote|pre)\b[^>]*>"
-)
 HTML_TAG = r"<[^>]+>"
 BLANKS_TO_COLLAPSE = r"[\t\r\f][ \t\r\f]*| [ \t\r\f]+"
 LINES_TO_TRIM = r" ?\n[ \n]*"
@@ -179,19 +171,18 @@ def _strip_tags(source: Column) -> Column:
     return F.regexp_replace(source, HTML_TAG, "")
 
 
-def _lines_of(markup: Column) -> Column:
-    broken = F.regexp_replace(markup, HTML_BLOCK, "\n")
-    one_spaced = F.regexp_replace(_strip_tags(broken), BLANKS_TO_COLLAPSE, " ")
+def _tidy_lines(text: Column) -> Column:
+    one_spaced = F.regexp_replace(text, BLANKS_TO_COLLAPSE, " ")
     return strip(F.regexp_replace(one_spaced, LINES_TO_TRIM, "\n"))
 
 
 def with_html_texts(rows: DataFrame, sources: Column, target: str) -> DataFrame:
     """Add ``target``: the readable text of each element of an array column.
 
-    NULL for elements under 30 characters. Markup gives its main part (the
-    article if there is one, without navigation and the like), or all its text
-    if that is empty; anything else is the text itself. One column per step, so
-    that no step is computed twice.
+    NULL for elements under 30 characters. Markup gives its main text, see
+    ``main_text.py``, or all its text if that is empty; anything else is the text
+    itself. Only rows with markup reach Python. One column per step, so that no
+    step is computed twice.
     """
     quiet = rows.withColumn(
         target,
@@ -200,27 +191,21 @@ def with_html_texts(rows: DataFrame, sources: Column, target: str) -> DataFrame:
             lambda s: F.struct(
                 _long_enough(s).alias("source"),
                 F.when(
-                    _looks_like_html(s), F.regexp_replace(_long_enough(s), HTML_NOISE, " ")
-                ).alias("quiet"),
+                    _looks_like_html(s), F.regexp_replace(_long_enough(s), RAW_ELEMENTS, " ")
+                ).alias("markup"),
             ),
         ),
     )
+    marked = F.when(F.exists(target, lambda s: s["markup"].isNotNull()), F.col(target)["markup"])
     parted = quiet.withColumn(
-        target,
-        F.transform(
-            target,
-            lambda s: F.struct(
-                s["source"], s["quiet"], F.regexp_extract(s["quiet"], HTML_ARTICLE, 1).alias("article")
-            ),
-        ),
+        target, F.struct(F.col(target).alias("parts"), main_blocks_array(marked).alias("blocks"))
     )
     lined = parted.withColumn(
         target,
         F.transform(
-            target,
-            lambda s: F.struct(
-                s["source"],
-                _lines_of(F.when(s["article"] != "", s["article"]).otherwise(s["quiet"])).alias("main"),
+            F.col(target)["parts"],
+            lambda s, i: F.struct(
+                s["source"], _tidy_lines(F.get(F.col(target)["blocks"], i)).alias("main")
             ),
         ),
     )
