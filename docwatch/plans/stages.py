@@ -30,6 +30,7 @@ from docwatch.operators.tables import (
     summary_update,
 )
 from docwatch.operators.tagging import EMBED_THRESHOLD, item_text, tag_hybrid
+from docwatch.plans.run_log import NoLog
 from docwatch.session import materialize
 from docwatch.sources.config import Dictionary
 from docwatch.sources.store import ItemStore
@@ -107,18 +108,22 @@ def cluster(
     hours: int = LOOKBACK_HOURS,
     distance: float = DISTANCE,
     min_size: int = 3,
+    log: NoLog | None = None,
 ) -> Clustered:
     """Group the look-back and upsert the clusters.
 
     TF-IDF k-means, or average linkage when ``vectors`` are given.
     """
+    log = log or NoLog()
     recent = scan_recent(items, as_of, hours)
-    if vectors is None:
-        labels = cluster_tfidf(recent)
-    else:
-        labels = cluster_embeddings(vectors.join(recent.select("id"), "id", "left_semi"), distance)
-    labels = materialize(labels, "labels")
-    rolled = materialize(rollup_labels(recent, labels, as_of, min_size=min_size, hours=hours), "rollup")
+
+    def label() -> DataFrame:
+        if vectors is None:
+            return cluster_tfidf(recent)
+        return cluster_embeddings(vectors.join(recent.select("id"), "id", "left_semi"), distance)
+
+    labels = log.stage("labels", label, as_of, hours, vectors, None if vectors is None else distance)
+    rolled = log.stage("rollup", lambda: rollup_labels(recent, labels, as_of, min_size=min_size, hours=hours), min_size)
     return Clustered(
         clusters_upsert(stored, rolled.drop("label")), cluster_members(rolled, labels)
     )
@@ -177,16 +182,23 @@ def run_stages(
     anchors: DataFrame | None = None,
     raw_summaries: DataFrame | None = None,
     settings: Settings = Settings(),
+    log: NoLog | None = None,
 ) -> Run:
-    """All stages in order, each leaving a snapshot in the shared folder."""
-    s, before = settings, items
-    if s.keep_hours is not None:
-        items = retain_recent(items, as_of, s.keep_hours)
+    """All stages in order, each leaving a snapshot in the shared folder.
+
+    With a :class:`RunLog`, stages that an earlier start has finished are read, not computed.
+    """
+    s, before, log = settings, items, log or NoLog()
+    log.note(items, as_of, s.keep_hours)
+    stored = items if s.keep_hours is None else retain_recent(items, as_of, s.keep_hours)
+    kept = stored
     if entries is not None:
-        items = materialize(collect(items, entries, as_of, pages), "items")
-    tags = enrich(items, book, vectors, anchors, s.method, s.threshold, s.enrich_limit, s.min_hits, s.languages)
-    tagged = materialize(tags, "items-enriched")
-    return _grouped_and_reported(before, tagged, tagged, clusters, as_of, vectors, raw_summaries, s)
+        kept = log.stage("items", lambda: collect(stored, entries, as_of, pages), entries, pages)
+    how = (s.method, s.threshold, s.enrich_limit, s.min_hits, s.languages)
+    tagged = log.stage(
+        "items-enriched", lambda: enrich(kept, book, vectors, anchors, *how), book, vectors, anchors, *how
+    )
+    return _grouped_and_reported(before, tagged, tagged, clusters, as_of, vectors, raw_summaries, s, log)
 
 
 def _grouped_and_reported(
@@ -198,14 +210,19 @@ def _grouped_and_reported(
     vectors: DataFrame | None,
     raw_summaries: DataFrame | None,
     s: Settings,
+    log: NoLog,
 ) -> Run:
     """The stages after enrichment; ``recent`` holds the look-back at least."""
-    grouped = cluster(
-        recent, clusters, as_of, vectors if s.link_vectors else None, s.hours, s.distance, s.min_size
+    linked = vectors if s.link_vectors else None
+    grouped = cluster(recent, clusters, as_of, linked, s.hours, s.distance, s.min_size, log)
+    stored = log.stage("clusters", lambda: grouped.clusters, clusters)
+    summed = log.stage(
+        "clusters-summarised",
+        lambda: summarize_shown(stored, tagged, as_of, s.per_topic, raw_summaries),
+        s.per_topic,
+        raw_summaries,
     )
-    stored = materialize(grouped.clusters, "clusters")
-    summed = materialize(summarize_shown(stored, tagged, as_of, s.per_topic, raw_summaries), "clusters-summarised")
-    report = materialize(digest_table(summed, tagged, as_of, s.per_topic), "digest")
+    report = log.stage("digest", lambda: digest_table(summed, tagged, as_of, s.per_topic))
     path = None
     if s.report_folder is not None:
         html = digest_html(report, topic_counts(summed, as_of), as_of)
@@ -225,10 +242,15 @@ def run_store(
     anchors: DataFrame | None = None,
     raw_summaries: DataFrame | None = None,
     settings: Settings = Settings(),
+    log: NoLog | None = None,
 ) -> Run:
     """:func:`run_stages` on a store: whole days go unread, new items are added, enrichment
-    writes narrow changes, and grouping opens the days of the look-back only."""
-    s = settings
+    writes narrow changes, and grouping opens the days of the look-back only.
+
+    A second start adds and enriches only what the first didn't, as the store tells; a log
+    covers the stages from grouping on, which depend on the items of the look-back.
+    """
+    s, log = settings, log or NoLog()
     before = store.items(version=store.version())
     if s.keep_hours is not None:
         store.retain(as_of, s.keep_hours)
@@ -238,7 +260,8 @@ def run_store(
     args = (book, vectors, anchors, s.method, s.threshold, s.min_hits)
     store.update(enriched_rows(pending, *args, keep=["ts"], languages=s.languages))
     tagged, recent = store.items(), store.recent(as_of, s.hours)
-    return _grouped_and_reported(before, tagged, recent, clusters, as_of, vectors, raw_summaries, s)
+    log.note(recent)
+    return _grouped_and_reported(before, tagged, recent, clusters, as_of, vectors, raw_summaries, s, log)
 
 
 def run_stats(

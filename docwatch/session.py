@@ -56,6 +56,34 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def file_system(spark: SparkSession, path: str) -> tuple:
+    """The Hadoop file system of a path, and the path for it."""
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(context._jsc.hadoopConfiguration()), place
+
+
+def put_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Put a small file in place by one rename; False, with nothing changed, if there is one already."""
+    context = spark.sparkContext
+    hadoop = context._jvm.org.apache.hadoop.fs
+    folder, _, name = path.rpartition("/")
+    files, draft = file_system(spark, f"{folder}/draft-{uuid.uuid4().hex}")
+    out = files.create(draft)
+    out.write(bytearray(text.encode()))
+    out.close()
+    renamer = hadoop.FileContext.getFileContext(draft.toUri(), context._jsc.hadoopConfiguration())
+    options = context._gateway.new_array(hadoop.Options.Rename, 0)
+    try:
+        renamer.rename(renamer.makeQualified(draft), renamer.makeQualified(hadoop.Path(f"{folder}/{name}")), options)
+    except Exception as error:
+        if "AlreadyExists" not in str(error):
+            raise
+        files.delete(draft, False)
+        return False
+    return True
+
+
 def instant(as_of: datetime) -> Column:
     """A timestamp literal that doesn't depend on the session time zone."""
     return F.timestamp_micros(F.lit(_micros(as_of)))

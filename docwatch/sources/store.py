@@ -32,7 +32,7 @@ from pyspark.sql.types import StructType
 
 from docwatch.operators.tables import LOOKBACK_HOURS, enrich_update, new_items
 from docwatch.schema import ITEMS
-from docwatch.session import instant
+from docwatch.session import instant, put_once
 
 FIELDS = ("lang", "lang_conf", "topics", "keywords")
 CHANGES = "id string, version long, lang string, lang_conf float, topics array<string>, keywords array<string>"
@@ -78,21 +78,10 @@ class ItemStore:
 
     def _publish(self, base: int, parts: Iterable[Part]) -> int:
         """Put the version after ``base`` in place, unless somebody else has."""
-        jvm, number = self.spark.sparkContext._jvm, base + 1
+        number = base + 1
         lines = "".join(json.dumps(asdict(p)) + "\n" for p in sorted(parts))
-        draft = self._path(f"versions/draft-{uuid.uuid4().hex}")
-        out = self._files().create(draft)
-        out.write(bytearray(lines.encode()))
-        out.close()
-        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(draft.toUri(), self._settings())
-        options = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
-        try:
-            context.rename(context.makeQualified(draft), context.makeQualified(self._path(f"versions/{number:012d}")), options)
-        except Exception as error:
-            if "AlreadyExists" not in str(error):
-                raise
-            self._files().delete(draft, False)
-            raise ConcurrentWrite(f"version {number} was written meanwhile") from error
+        if not put_once(self.spark, f"{self.root}/versions/{number:012d}", lines):
+            raise ConcurrentWrite(f"version {number} was written meanwhile")
         return number
 
     # ---- reading ----
