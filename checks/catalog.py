@@ -16,6 +16,8 @@ from docwatch.operators import tables, tagging
 from docwatch.operators.kmeans import cluster_tfidf
 from docwatch.operators.linkage import cluster_embeddings, similarity_components
 from docwatch.plans import stages
+from docwatch.plans.run_log import RunLog
+from docwatch.schema import CLUSTERS
 from docwatch.session import fresh_path, materialize
 from docwatch.sources import config
 from docwatch.sources.feeds import read_feed_entries
@@ -651,6 +653,43 @@ def run_stages(spark, sf_dir):
     return report.select("topic", "rank", "cluster_id", "size", rounded("score", 3), joined("bullets"), "entities", "tone")
 
 
+class _Stopped(RuntimeError):
+    pass
+
+
+class _StopsAfter(RunLog):
+    """Ends the run once a stage is finished."""
+
+    last = "labels"
+
+    def stage(self, name, build, *parts):
+        written = super().stage(name, build, *parts)
+        if name == self.last:
+            raise _Stopped
+        return written
+
+
+@query
+def run_resumed(spark, sf_dir):
+    """All stages after collection, broken off once the labels are there and started again."""
+    rows, none = fx.plain_items(spark, sf_dir), spark.createDataFrame([], CLUSTERS)
+    root = fresh_path(spark, "run-log")
+    inputs = dict(vectors=fx.vectors(spark, sf_dir), anchors=fx.anchors(spark, sf_dir))
+    inputs["settings"] = stages.Settings(hours=24 * 31)
+    try:
+        stages.run_stages(rows, none, fx.AS_OF, fx.BOOK, log=_StopsAfter(spark, root), **inputs)
+    except _Stopped:
+        pass
+    log = RunLog(spark, root)
+    report = stages.run_stages(rows, none, fx.AS_OF, fx.BOOK, log=log, **inputs).digest
+    assert log.computed == ["rollup", "clusters", "clusters-summarised", "digest"]
+    links = F.transform("links", lambda l: F.concat_ws(" ", l["url"], l["title"]))
+    return report.select(
+        "topic", "topic_total", "rank", "cluster_id", "size", rounded("score", 3), joined("bullets"),
+        "entities", "tone", F.concat_ws("|", links).alias("links"), F.col("n_items").cast("int").alias("n_items"),
+    )
+
+
 @query
 def run_stats(spark, sf_dir):
     """Counts over the stored clusters by source instead of learned labels."""
@@ -734,5 +773,19 @@ def stream_topic_counts_appended(spark, sf_dir):
     return _drain(counts, "stream-counts").select(epoch("window_start"), "topic", "n")
 
 
+@query
+def stream_topic_panes(spark, sf_dir):
+    """Items with stored topics, most of them revised by their text, two files a micro-batch."""
+    path, table = fresh_path(spark, "revisions"), fresh_path(spark, "panes")
+    first = fx.plain_items(spark, sf_dir).select("id", "ts", "topics", F.lit(0).cast("long").alias("revision"))
+    tagged = jobs.stream_tagged(fx.plain_items(spark, sf_dir), fx.BOOK)
+    second = tagged.filter(F.col("id").cast("long") % 3 > 0).select("id", "ts", "topics", F.lit(1).cast("long").alias("revision"))
+    first.unionByName(second).repartition(8, F.xxhash64("id", "revision")).write.parquet(path)
+    arrivals = spark.readStream.schema(first.schema).option("maxFilesPerTrigger", 2).parquet(path)
+    jobs.store_topic_panes(arrivals, table, fresh_path(spark, "panes-state")).awaitTermination()
+    counts = jobs.window_counts(jobs.topic_panes(spark, table))
+    return counts.select(epoch("window_start"), "topic", "n")
+
+
 def all_queries() -> dict[str, Query]:
     return {name.rstrip("_"): fn for name, fn in QUERIES.items()}

@@ -251,6 +251,15 @@ def _tagging() -> dict[str, str]:
             body="""SELECT window_start, topic, count(*) AS n FROM spans
                 WHERE ts < window_start + 129600 GROUP BY window_start, topic""",
         ),
+        "stream_topic_panes": with_items(
+            *EVIDENCE,
+            """tagged AS (SELECT ts, unnest(CASE WHEN doc_id % 3 = 0 THEN list_distinct(topics)
+                ELSE list_filter(kw, lambda x: NOT list_contains(neg, x)) END) AS topic,
+                ts // 86400 * 86400 AS day FROM evidence)""",
+            "spans AS (SELECT ts, topic, unnest([day, day - 86400]) AS window_start FROM tagged)",
+            body="""SELECT window_start, topic, count(*) AS n FROM spans
+                WHERE ts < window_start + 129600 GROUP BY window_start, topic""",
+        ),
         "stream_topic_counts_appended": with_items(
             *EVIDENCE,
             """tagged AS (SELECT ts, unnest(list_filter(kw, lambda x: NOT list_contains(neg, x))) AS topic,
@@ -850,13 +859,36 @@ def _digest() -> dict[str, str]:
         ),
         "digest_table": with_items(
             DOC_CLUSTERS, _COUNTS, _TOP, *_SPLIT, *_linked(marked),
-            body=f"""SELECT topic, CAST(total AS BIGINT) AS topic_total, rank, cluster_id, size,
+            body=_DIGEST_ROWS,
+        ),
+    }
+
+
+_DIGEST_ROWS = f"""SELECT topic, CAST(total AS BIGINT) AS topic_total, rank, cluster_id, size,
                 round(CAST(score AS DOUBLE), 3) AS score, {joined('bullets')} AS bullets, entities, tone,
                 {joined('shown')} AS links, coalesce(n_items, 0) AS n_items
                 FROM top JOIN counts USING (topic) JOIN split_done USING (cluster_id) JOIN tones USING (cluster_id)
-                LEFT JOIN per USING (cluster_id) LEFT JOIN found USING (cluster_id)""",
-        ),
-    }
+                LEFT JOIN per USING (cluster_id) LEFT JOIN found USING (cluster_id)"""
+
+
+def _whole_run() -> str:
+    """Tags, labels, roll-up, summaries of the clusters shown, and the digest, each from the one before."""
+    grouped = rollup("label", AS_OF, "fresh").replace("FROM items)", "FROM tagged_items)")
+    of_shown = "wanted AS (SELECT cluster_id, unnest(reps) AS id, generate_subscripts(reps, 1) - 1 AS pos FROM shown)"
+    inner = ", ".join
+    return with_items(
+        f"""tagged AS (WITH {inner([*EVIDENCE, *SCORES])} SELECT id, {KEPT.format(t=UNION)} AS topics
+            FROM evidence LEFT JOIN near USING (id))""",
+        f"labels AS (WITH {inner([*_TOKENS, *_kmeans()])} SELECT id, label FROM keyed JOIN l{KMEANS_ROUNDS} USING (point))",
+        """tagged_items AS (SELECT id, ts, tagged.topics, label FROM items JOIN tagged USING (id) JOIN labels USING (id))""",
+        f"grouped AS (WITH {grouped} SELECT * FROM fresh)",
+        f"shown AS (WITH clusters AS (SELECT * FROM grouped), {_COUNTS}, {_TOP} SELECT * FROM top)",
+        f"""done_all AS (WITH {inner([of_shown, _REPS[2], *_CONTEXT[3:], *_SENTENCES, *_FACTS, *_formatted(True)])}
+            SELECT * FROM done)""",
+        "clusters AS (SELECT g.* EXCLUDE summary, d.summary FROM grouped g LEFT JOIN done_all d USING (cluster_id))",
+        _COUNTS, _TOP, *_SPLIT, *_linked("url"),
+        body=_DIGEST_ROWS,
+    )
 
 
 def _store() -> dict[str, str]:
@@ -875,4 +907,4 @@ def _store() -> dict[str, str]:
 
 def all_sql() -> dict[str, str]:
     parts = (_tagging(), _language(), _tables(), _store(), _text(), _clustering(), _summaries(), _digest())
-    return {name: sql for part in parts for name, sql in part.items()}
+    return {"run_resumed": _whole_run(), **{name: sql for part in parts for name, sql in part.items()}}
