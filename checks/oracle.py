@@ -592,6 +592,21 @@ def _clustering() -> dict[str, str]:
             reach AS (SELECT CAST(vec_id AS VARCHAR) AS id, CAST(vec_id AS VARCHAR) AS seen FROM embeddings
                 UNION SELECT r.id, e.v FROM reach r JOIN edges e ON e.u = r.seen)
             SELECT id, min(seen) AS component FROM reach GROUP BY id""",
+        # every group joins its nearest where both are each other's, until none is near enough
+        "cluster_embeddings": """WITH RECURSIVE points AS (SELECT CAST(vec_id AS VARCHAR) AS id,
+                CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE embedding IS NOT NULL),
+            pairs AS MATERIALIZED (SELECT a.id AS a, b.id AS b, list_dot_product(a.v, b.v) AS s FROM points a, points b WHERE a.id <> b.id),
+            steps AS (SELECT 0 AS step, id, id AS label FROM points
+                UNION ALL
+                SELECT step + 1, id, coalesce(into_label, label) FROM (
+                    WITH means AS (SELECT x.label AS g, y.label AS h, avg(s) AS s FROM steps x JOIN pairs ON x.id = a
+                            JOIN steps y ON y.id = b WHERE x.label <> y.label GROUP BY ALL),
+                        nearest AS (SELECT g, arg_min(h, (-round(s, 12), h)) AS h, max(s) AS s FROM means GROUP BY g),
+                        merged AS (SELECT n.h AS g, n.g AS into_label FROM nearest n JOIN nearest m ON m.g = n.h AND m.h = n.g
+                            WHERE n.g < n.h AND n.s > 1 - 0.70)
+                    SELECT step, id, label, into_label FROM steps LEFT JOIN merged ON g = label
+                    WHERE EXISTS (SELECT 1 FROM merged)))
+            SELECT id, label FROM steps WHERE step = (SELECT max(step) FROM steps)""",
         "cluster_rollup": with_items(FRESH, body=f"SELECT {_CLUSTER}, {joined('reps')} AS rep_item_ids FROM fresh"),
         "cluster_members": with_items(
             FRESH,
