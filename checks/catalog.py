@@ -775,14 +775,18 @@ def stream_topic_counts_appended(spark, sf_dir):
 
 @query
 def stream_topic_panes(spark, sf_dir):
-    """Items with stored topics, most of them revised by their text, two files a micro-batch."""
-    path, table = fresh_path(spark, "revisions"), fresh_path(spark, "panes")
+    """Items with stored topics, most of them revised by their text; the stream is started
+    again when the second half has landed, so that revisions also come before what they revise."""
+    path, table, state = (fresh_path(spark, name) for name in ("revisions", "panes", "panes-state"))
     first = fx.plain_items(spark, sf_dir).select("id", "ts", "topics", F.lit(0).cast("long").alias("revision"))
     tagged = jobs.stream_tagged(fx.plain_items(spark, sf_dir), fx.BOOK)
     second = tagged.filter(F.col("id").cast("long") % 3 > 0).select("id", "ts", "topics", F.lit(1).cast("long").alias("revision"))
-    first.unionByName(second).repartition(8, F.xxhash64("id", "revision")).write.parquet(path)
-    arrivals = spark.readStream.schema(first.schema).option("maxFilesPerTrigger", 2).parquet(path)
-    jobs.store_topic_panes(arrivals, table, fresh_path(spark, "panes-state")).awaitTermination()
+    both = first.unionByName(second).withColumn("part", F.pmod(F.xxhash64("id", "revision"), F.lit(2)))
+    both = materialize(both, "revision-parts")
+    for part in (0, 1):
+        both.filter(F.col("part") == part).drop("part").write.mode("append").parquet(path)
+        arrivals = spark.readStream.schema(first.schema).parquet(path)
+        jobs.store_topic_panes(arrivals, table, state).awaitTermination()
     counts = jobs.window_counts(jobs.topic_panes(spark, table))
     return counts.select(epoch("window_start"), "topic", "n")
 
