@@ -74,6 +74,27 @@ def letters(text):
     return text.translate(str.maketrans("0123456789", "abcdefghij"))
 
 
+def test_marks_are_shuffled_and_texts_are_not(spark, awkward):
+    key = [F.coalesce("source", F.lit("")).alias("host"), quality_rules.text_key(F.coalesce("text", F.lit(""))).alias("text_key")]
+    chosen = awkward.filter("doc_id is null or doc_id <> 12").select(*key).distinct()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        marks = quality_rules._marks(awkward, chosen)
+        found = {(r.host, r.text_key): r.marks for r in marks.collect()}
+        plan = marks._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert found.keys() == {tuple(r) for r in chosen.collect()}
+    join = next(i for i, line in enumerate(plan) if "Join LeftSemi" in line)
+    assert "array_position" in plan[join + 1]
+    for row in awkward.select(*key, F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), "[0-9]+", "0").alias("t")).collect():
+        if (row.host, row.text_key) in found:
+            n = max(1, len(words(row.t)) - 4)
+            held = [m for m in found[row.host, row.text_key] if m is not None]
+            assert len(found[row.host, row.text_key]) == 96 and 1 <= len(held) <= min(n, 96)
+            assert all(m is None or m % 96 == i for i, m in enumerate(found[row.host, row.text_key]))
+
+
 def test_edited_copies_keep_their_lines(spark):
     base = [[letters(f"line{k}word{j}") for j in range(25)] for k in range(8)]
     rows = []
