@@ -86,7 +86,7 @@ def test_marks_are_shuffled_and_texts_are_not(spark, awkward):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert found.keys() == {tuple(r) for r in chosen.collect()}
     join = next(i for i, line in enumerate(plan) if "Join LeftSemi" in line)
-    assert "array_position" in plan[join + 1]
+    assert "marks" in plan[join + 1]
     for row in awkward.select(*key, F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), "[0-9]+", "0").alias("t")).collect():
         if (row.host, row.text_key) in found:
             n = max(1, len(words(row.t)) - 4)
