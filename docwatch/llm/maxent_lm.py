@@ -2,15 +2,20 @@
 
 ``P(word | before) = P(class | before) * P(word | class)``.
 
-* Counts of all training words give the unigram base and, within each class, the
-  word factor (a softmax over its words whose weights are log counts).
+* Counts of all training words give the unigram base.
 * Classes come from the company words keep: each frequent word and each word ending
   has a sketch of its neighbours (random signs, summed over all training text);
   k-means on those few sketches gives the classes. Rare and unknown words go by
   their ending.
 * The class factor is a softmax over hashed features of what stands before: the
   previous word, the one before it (skip), both together, the pair of the last two
-  classes, and the class before these. Its weights are trained by gradient steps on
+  classes, and the class before these.
+* The word factor is a softmax over all words of the class: a word's log count, plus
+  hashed weights of the previous word and of the one before it (skip), both by word.
+  The words of a class share ``slots`` of weights: its most frequent ones have their
+  own, others of ``lookup`` are dealt to ``shared`` slots by hash, and one slot is for
+  the rest and the unknown word. So its normaliser is a sum over slots, and exact.
+* The weights of both are trained together by gradient steps on
   virtual shards: a text's shard follows from its hash, the number of shards from the
   counted training tokens, and the order within a shard from the hash too. In each
   round every shard steps through its texts from common weights, and the mean of the
@@ -31,6 +36,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +50,10 @@ from docwatch.llm.shingles import slices
 from docwatch.session import materialize
 
 END = np.int64(-1)
+# The slot of a class for words outside the lookup and the unknown word.
+REST = 0
+# Parts of 1 in which shards send what their weights moved by.
+UNITS = 1e7
 ROW_BITS = 33
 # Text held as arrays at a time; a token takes some 150 bytes of them.
 SLICE_BYTES = 3 << 20
@@ -61,6 +71,9 @@ class Shape:
     neighbours: int = 1 << 10
     sketch: int = 16
     buckets: int = 1 << 14
+    slots: int = 32
+    shared: int = 8
+    word_buckets: int = 1 << 10
     rounds: int = 2
     shard_tokens: int = 1 << 22
     step: float = 0.1
@@ -72,6 +85,11 @@ class Shape:
         """Rows of weights: hashed features, pairs of classes, single classes."""
         return self.buckets + self.classes**2 + self.classes
 
+    @property
+    def word_rows(self) -> int:
+        """Rows of weights of the word factor: hashed features of each class."""
+        return self.classes * self.word_buckets
+
 
 # ---- tokens --------------------------------------------------------------------
 
@@ -268,6 +286,9 @@ class Model:
     class_tokens: np.ndarray
     class_words: np.ndarray
     weights: np.ndarray
+    word_slot: np.ndarray  # by place in the lookup
+    slot_mass: np.ndarray  # smoothed tokens of each slot of each class
+    word_weights: np.ndarray
 
     @property
     def n_tokens(self) -> int:
@@ -287,8 +308,13 @@ class Model:
         known = self.word_class[at] if len(self.word_class) else np.zeros(len(at), dtype=np.int64)
         return at, np.where(at >= 0, known, self.ending_class[tokens.endings])
 
-    def features(self, tokens: Tokens, classes: np.ndarray) -> np.ndarray:
-        """Rows of weights that are active before each token."""
+    def slots_of(self, at: np.ndarray) -> np.ndarray:
+        """Slot of each distinct word within its class."""
+        known = self.word_slot[at] if len(self.word_slot) else np.zeros(len(at), dtype=np.int64)
+        return np.where(at >= 0, known, REST)
+
+    def features(self, tokens: Tokens, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of weights that are active before each token: of the class factor, of the word factor."""
         shape = self.shape
         mixed = (tokens.hashes.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(20)
         n = len(tokens.place)
@@ -306,7 +332,11 @@ class Model:
         last, before, third = (np.where(since >= b, kinds[3 - b : n + 3 - b], 0) for b in (1, 2, 3))
         rows[:, -2] = shape.buckets + last * shape.classes + before
         rows[:, -1] = shape.buckets + shape.classes**2 + third
-        return rows
+        own = (classes[tokens.place] * shape.word_buckets).astype(np.int32)
+        word_rows = np.empty((n, 2), dtype=np.int32)
+        for j, h in enumerate(hashed[:2]):
+            word_rows[:, j] = own + (h % np.uint64(shape.word_buckets)).astype(np.int32)
+        return rows, word_rows
 
     def class_probabilities(self, features: np.ndarray, weights: np.ndarray) -> np.ndarray:
         logits = weights.take(features[:, 0], axis=0)
@@ -318,10 +348,59 @@ class Model:
         logits /= logits.sum(axis=1, keepdims=True)
         return logits
 
-    def examples(self, tokens: Tokens) -> tuple[np.ndarray, np.ndarray]:
-        """Active rows before each token, and the token's class."""
-        _, classes = self.classes_of(tokens)
-        return self.features(tokens, classes), classes[tokens.place]
+    def slot_probabilities(self, kind: np.ndarray, rows: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """Shares of the slots of each token's class, of all its words together 1."""
+        odds = weights.take(rows[:, 0], axis=0)
+        for j in range(1, rows.shape[1]):
+            odds += weights.take(rows[:, j], axis=0)
+        np.clip(odds, -30.0, 30.0, out=odds)
+        np.exp(odds, out=odds)
+        odds *= self.slot_shares.take(kind, axis=0)
+        odds /= odds.sum(axis=1, keepdims=True)
+        return odds
+
+    @cached_property
+    def slot_shares(self) -> np.ndarray:
+        return (self.slot_mass / self.class_sizes()[:, None]).astype(np.float32)
+
+    def examples(self, tokens: Tokens) -> list[np.ndarray]:
+        """Active rows before each token, its class, rows of its word factor, and its slot."""
+        at, classes = self.classes_of(tokens)
+        rows, word_rows = self.features(tokens, classes)
+        return [rows, classes[tokens.place], word_rows, self.slots_of(at)[tokens.place]]
+
+
+class Descent:
+    """Weights under gradient steps, with a step size per row."""
+
+    def __init__(self, weights: np.ndarray, step: float):
+        self.start = weights
+        self.weights = weights.copy()
+        self.scale = np.full(len(weights), 1e-4, dtype=np.float32)
+        self.position = np.zeros(len(weights), dtype=np.int64)
+        self.step = step
+
+    def take(self, rows: np.ndarray, slope: np.ndarray) -> None:
+        met = np.zeros(len(self.weights), dtype=bool)
+        met[rows.ravel()] = True
+        touched = np.flatnonzero(met)
+        self.position[touched] = np.arange(len(touched))
+        place = self.position[rows.ravel()]
+        sums = np.empty((slope.shape[1], len(touched)), dtype=np.float32)
+        for k, column in enumerate(np.repeat(slope.T, rows.shape[1], axis=1)):
+            sums[k] = np.bincount(place, column, len(touched))
+        self.scale[touched] += np.square(sums).mean(axis=0)
+        self.weights[touched] -= (self.step * sums / np.sqrt(self.scale[touched])).T
+
+    def changes(self, factor: int) -> pa.RecordBatch:
+        """``factor, row, moved`` of the rows that were met, in whole units that add up alike in any order."""
+        moved = np.rint((self.weights - self.start).astype(np.float64) * UNITS).astype(np.int64)
+        used = np.flatnonzero(np.abs(moved).max(axis=1) > 0)
+        lists = pa.FixedSizeListArray.from_arrays(pa.array(moved[used].ravel()), moved.shape[1])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(used), factor, dtype=np.int32)), pa.array(used), lists.cast(pa.list_(pa.int64()))],
+            names=["factor", "row", "moved"],
+        )
 
 
 class Learner:
@@ -329,46 +408,36 @@ class Learner:
 
     def __init__(self, model: Model):
         self.model = model
-        self.weights = model.weights.copy()
-        self.scale = np.full(model.shape.rows, 1e-4, dtype=np.float32)
-        self.position = np.zeros(model.shape.rows, dtype=np.int64)
-        self.rows = np.empty((0, 0), dtype=np.int32)
-        self.right = np.empty(0, dtype=np.int64)
+        self.classes = Descent(model.weights, model.shape.step)
+        self.words = Descent(model.word_weights, model.shape.step)
+        self.waiting: list[np.ndarray] = []
 
     def take(self, tokens: Tokens) -> None:
-        rows, right = self.model.examples(tokens)
-        if len(self.right):
-            rows, right = np.concatenate([self.rows, rows]), np.concatenate([self.right, right])
+        found = self.model.examples(tokens)
+        if self.waiting:
+            found = [np.concatenate(x) for x in zip(self.waiting, found)]
         size = self.model.shape.batch
-        whole = len(right) // size * size
+        whole = len(found[0]) // size * size
         for at in range(0, whole, size):
-            self._step(rows[at : at + size], right[at : at + size])
-        self.rows, self.right = rows[whole:], right[whole:]
-
-    def changes(self) -> pa.RecordBatch:
-        """``row, moved`` of the rows that the shard has met."""
-        if len(self.right):
-            self._step(self.rows, self.right)
-        moved = (self.weights - self.model.weights).astype(np.float32)
-        used = np.flatnonzero(np.abs(moved).max(axis=1) > 0)
-        lists = pa.FixedSizeListArray.from_arrays(pa.array(moved[used].ravel()), moved.shape[1])
-        return pa.RecordBatch.from_arrays([pa.array(used), lists.cast(pa.list_(pa.float32()))], names=["row", "moved"])
-
-    def _step(self, rows: np.ndarray, right: np.ndarray) -> None:
-        """One step, with a step size per row of weights."""
-        shape = self.model.shape
-        slope = self.model.class_probabilities(rows, self.weights)
-        slope[np.arange(len(right)), right] -= 1.0
-        met = np.zeros(shape.rows, dtype=bool)
-        met[rows.ravel()] = True
-        touched = np.flatnonzero(met)
-        self.position[touched] = np.arange(len(touched))
-        place = self.position[rows.ravel()]
-        sums = np.empty((shape.classes, len(touched)), dtype=np.float32)
-        for k, column in enumerate(np.repeat(slope.T, rows.shape[1], axis=1)):
-            sums[k] = np.bincount(place, column, len(touched))
-        self.scale[touched] += np.square(sums).mean(axis=0)
-        self.weights[touched] -= (shape.step * sums / np.sqrt(self.scale[touched])).T
+            self._step(*(x[at : at + size] for x in found))
+        self.waiting = [x[whole:] for x in found]
+
+    def changes(self) -> Iterator[pa.RecordBatch]:
+        """``factor, row, moved`` of the rows that the shard has met."""
+        if self.waiting and len(self.waiting[0]):
+            self._step(*self.waiting)
+        yield self.classes.changes(0)
+        yield self.words.changes(1)
+
+    def _step(self, rows: np.ndarray, kind: np.ndarray, word_rows: np.ndarray, slot: np.ndarray) -> None:
+        """One step of both factors."""
+        each = np.arange(len(kind))
+        slope = self.model.class_probabilities(rows, self.classes.weights)
+        slope[each, kind] -= 1.0
+        self.classes.take(rows, slope)
+        slope = self.model.slot_probabilities(kind, word_rows, self.words.weights)
+        slope[each, slot] -= 1.0
+        self.words.take(word_rows, slope)
 
 
 MAX_SHARD_PARTITIONS = 4096
@@ -401,8 +470,8 @@ def _shard_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Rec
                 yield int(shard[a]), batch.slice(a, b - a)
 
 
-def _train_round(model: Model, share: DataFrame, tokens: int) -> np.ndarray:
-    """The mean of what every shard makes of the weights with its texts."""
+def _train_round(model: Model, share: DataFrame, tokens: int) -> None:
+    """Move the weights by the mean of what every shard makes of them with its texts."""
     shape = model.shape
     shared = share.sparkSession.sparkContext.broadcast(model)
 
@@ -411,22 +480,38 @@ def _train_round(model: Model, share: DataFrame, tokens: int) -> np.ndarray:
         for shard, run in _shard_runs(batches):
             if shard != current:
                 if learner:
-                    yield learner.changes()
+                    yield from learner.changes()
                 current, learner = shard, Learner(shared.value)
             for found in _training_batches([run], shape):
                 learner.take(found)
         if learner:
-            yield learner.changes()
-
-    changes = sharded(share, tokens, shape).mapInArrow(step, "row long, moved array<float>")
-    # a row's mean is over the shards that met it; decimals add up alike in any order
-    sums = [F.round(F.avg(F.get("moved", F.lit(i)).cast("decimal(20,8)")).cast("double"), 7).alias(f"m{i}") for i in range(shape.classes)]
-    table = _arrays(changes.groupBy("row").agg(*sums))
-    row = table.pop("row").astype(np.int64)
-    weights = model.weights.copy()
-    for k, column in enumerate(table.values()):
-        weights[row, k] += column.astype(np.float32)
-    return weights
+            yield from learner.changes()
+
+    changes = sharded(share, tokens, shape).mapInArrow(step, "factor int, row long, moved array<long>")
+    width = max(shape.classes, shape.slots)
+    sums = [F.sum(F.get("moved", F.lit(i))).alias(f"m{i}") for i in range(width)]
+    # a row's mean is over the shards that met it
+    table = _arrays(changes.groupBy("factor", "row").agg(F.count("*").alias("n"), *sums))
+    for factor, weights in enumerate((model.weights, model.word_weights)):
+        own = table["factor"] == factor
+        row, n = table["row"][own].astype(np.int64), table["n"][own] * UNITS
+        for k in range(weights.shape[1]):
+            weights[row, k] += (table[f"m{k}"][own] / n).astype(np.float32)
+
+
+def _slots(lookup: Lookup, word_class: np.ndarray, class_sizes: np.ndarray, shape: Shape) -> tuple[np.ndarray, np.ndarray]:
+    """The slot of each word of the lookup in its class, and the smoothed tokens of each slot."""
+    order = np.lexsort((lookup.ranks, word_class))
+    first = np.searchsorted(word_class[order], np.arange(shape.classes))
+    place = np.empty(len(order), dtype=np.int64)
+    place[order] = np.arange(len(order)) - first[word_class[order]]
+    own = shape.slots - 1 - shape.shared
+    dealt = 1 + own + lookup.words % shape.shared
+    slot = np.where(place < own, 1 + place, dealt)
+    cells = np.bincount(word_class * shape.slots + slot, lookup.counts + 0.5, shape.classes * shape.slots)
+    mass = cells.reshape(shape.classes, shape.slots)
+    mass[:, REST] = class_sizes - mass.sum(axis=1)
+    return slot, mass
 
 
 def fit(split: DataFrame, shape: Shape = Shape()) -> tuple[Model, DataFrame]:
@@ -448,11 +533,13 @@ def fit(split: DataFrame, shape: Shape = Shape()) -> tuple[Model, DataFrame]:
         tokens += sign * np.bincount(classes, lookup.counts[frequent], shape.classes)
         distinct += sign * np.bincount(classes, minlength=shape.classes)
     weights = np.zeros((shape.rows, shape.classes), dtype=np.float32)
-    model = Model(shape, lookup, word_class, ending_class, tokens, distinct, weights)
+    slot, mass = _slots(lookup, word_class, tokens + 0.5 * (distinct + 1), shape)
+    word_weights = np.zeros((shape.word_rows, shape.slots), dtype=np.float32)
+    model = Model(shape, lookup, word_class, ending_class, tokens, distinct, weights, slot, mass, word_weights)
     # by id and text, so that copies of one text are dealt to all rounds
     lot = F.pmod(F.xxhash64(F.lit("round"), _doc_key(), "text"), F.lit(shape.rounds))
     for turn in range(shape.rounds):
-        model.weights = _train_round(model, training.filter(lot == turn), -(-model.n_tokens // shape.rounds))
+        _train_round(model, training.filter(lot == turn), -(-model.n_tokens // shape.rounds))
     return model, words
 
 
@@ -473,7 +560,7 @@ def _scored(split: DataFrame, model: Model) -> DataFrame:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         row = TaskContext.get().partitionId() << ROW_BITS
-        per_class = -np.log10(own.class_sizes())
+        per_slot = -np.log10(np.maximum(own.slot_mass, 0.5))
         per_token = -np.log10(own.n_tokens + 0.5 * (own.n_words + 1))
         for batch in batches:
             for part in slices(batch, "text", SLICE_BYTES):
@@ -481,13 +568,18 @@ def _scored(split: DataFrame, model: Model) -> DataFrame:
                 at, classes = own.classes_of(tokens)
                 counts = own.lookup.counts[at] if len(own.lookup.counts) else np.zeros(len(at))
                 log_count = np.where(at >= 0, np.log10(counts + 0.5), 0.0)[tokens.place]
-                kind = classes[tokens.place]
-                features = own.features(tokens, classes)
+                kind, slot = classes[tokens.place], own.slots_of(at)[tokens.place]
+                rows, word_rows = own.features(tokens, classes)
                 chosen = np.empty(len(kind))
                 for a in range(0, len(kind), shape.batch):
-                    p = own.class_probabilities(features[a : a + shape.batch], own.weights)
-                    chosen[a : a + shape.batch] = p[np.arange(len(p)), kind[a : a + shape.batch]]
-                word = np.log10(np.maximum(chosen, 1e-30)) + per_class[kind] + log_count
+                    part_of = slice(a, a + shape.batch)
+                    p = own.class_probabilities(rows[part_of], own.weights)
+                    q = own.slot_probabilities(kind[part_of], word_rows[part_of], own.word_weights)
+                    each = np.arange(len(p))
+                    chosen[part_of] = np.maximum(p[each, kind[part_of]], 1e-30) * np.maximum(
+                        q[each, slot[part_of]].astype(np.float64), 1e-30
+                    )
+                word = np.log10(chosen) + per_slot[kind, slot] + log_count
                 first = np.cumsum(tokens.counts) - tokens.counts
                 rare, times = _rare_words(tokens, at)
                 yield pa.RecordBatch.from_arrays(

@@ -389,6 +389,37 @@ def test_probabilities_sum_to_one(spark):
     assert np.isclose(model.class_probabilities(features, model.weights).sum(), 1.0)
 
 
+def test_words_of_a_class_have_features(spark):
+    """With a single class, where the class factor says nothing, context still tells words apart."""
+    docs = spark.createDataFrame(
+        [(i, " ".join(["l0 r0", "l1 r1", "l2 r2"][(i + j * j) % 3] for j in range(30)) + f" rare{i}") for i in range(200)],
+        "doc_id long, text string",
+    )
+    shape = maxent_lm.Shape(classes=1, lookup=8, clustered=8, endings=4, neighbours=8, buckets=16, slots=8, shared=2, word_buckets=64)
+    held = maxent_lm.score_texts(docs, shape).filter("held_out").collect()
+    assert sum(r.score - r.base_score for r in held) / sum(r.n_tokens for r in held) > 0.05
+
+
+def test_words_of_a_class_sum_to_one(spark):
+    """Over all words of a class and its unknown word, whatever stands before."""
+    docs = spark.createDataFrame([(i, f"a b c{i % 7} d e{i % 3} z{i}") for i in range(60)], "doc_id long, text string")
+    shape = maxent_lm.Shape(classes=3, lookup=16, clustered=8, endings=4, neighbours=8, buckets=16, slots=6, shared=2, word_buckets=8)
+    model, table = maxent_lm.fit(maxent_lm.split_held_out(docs), shape)
+    rows = table.collect()
+    hashes = np.array([r.word for r in rows])
+    found = maxent_lm.Tokens(hashes, np.array([r.ending for r in rows]), np.zeros(1, int), np.ones(1, int))
+    at, classes = model.classes_of(found)
+    assert (at < 0).any() and np.abs(model.word_weights).max() > 0
+    slots = model.slots_of(at)
+    for kind in range(shape.classes):
+        for row in range(kind * shape.word_buckets, (kind + 1) * shape.word_buckets):
+            share = model.slot_probabilities(np.array([kind]), np.array([[row, row]]), model.word_weights)[0]
+            own = classes == kind
+            inside = np.array([r.c + 0.5 for r in rows])[own] * (share / np.maximum(model.slot_mass[kind], 0.5))[slots[own]]
+            unknown = 0.5 * share[maxent_lm.REST] / model.slot_mass[kind][maxent_lm.REST]
+            assert np.isclose(inside.sum() + unknown, 1.0, atol=1e-5)
+
+
 def test_a_mix_that_misses_its_target_raises(spark):
     cells = spark.createDataFrame([(0, 10, 50), (0, 1000, 50)], "sid int, size long, n long")
     sources = spark.createDataFrame([(0, 505.0, 12_345.0, 50_500)], "sid int, mean double, target double, source_size long")
