@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docwatch.llm.common import SPACE, text_of
+from docwatch.llm.common import SPACE, text_of, with_may_be_in
 from docwatch.session import materialize
 
 FINGERPRINT_BITS = 60
@@ -191,24 +191,27 @@ def assign_copies(docs: DataFrame, owners: int | None = None) -> DataFrame:
 def drop_copies(docs: DataFrame, owners: int | None = None) -> DataFrame:
     """The kept rows of ``docs``, all columns; rows that repeat a kept id with its text leave one.
 
-    What goes is few rows as a rule, so the narrow list of dropped texts meets the
-    documents in an anti join and the kept ones aren't looked up one by one.
+    What goes is few rows as a rule: only rows whose id may be in the narrow list of
+    what goes are shuffled to meet it in an anti join, the others stay where they are read.
     """
     found = materialize(assign_copies(docs, owners).filter("group_size > 1"), "copies")
     key = ["doc_id", "text_sha256"]
     gone = found.filter("not kept").select(*key).distinct()
     again = found.filter("kept").groupBy(*key).agg(F.count("*").alias("n")).filter("n > 1").select(*key)
-    rows = docs.select(F.struct("*").alias("row"))
-    rows = rows.select("row", F.col("row.doc_id").alias("_id"), digest(text_of(F.col("row.text"))).alias("_sha"))
 
     def meets(other: DataFrame) -> Column:
         return F.col("_id").eqNullSafe(other["doc_id"]) & (F.col("_sha") == other["text_sha256"])
 
     gone, again = materialize(gone, "gone"), materialize(again, "again")
+    ids = gone.select("doc_id").union(again.select("doc_id"))
+    rows = docs.select(F.struct("*").alias("row"), "doc_id")
+    rows = with_may_be_in(rows, ids, ["doc_id"], "_met").select("row", F.col("doc_id").alias("_id"), "_met")
+    untouched = rows.filter(~F.col("_met")).select("row.*")
+    rows = rows.filter("_met").select("row", "_id", digest(text_of(F.col("row.text"))).alias("_sha"))
     left = rows.join(gone, meets(gone), "left_anti")
     if again.isEmpty():  # the usual case: no kept id is repeated
-        return left.select("row.*")
+        return untouched.union(left.select("row.*"))
     single = left.join(again, meets(again), "left_anti").select("row.*")
     longest = F.min(F.struct((-F.length(text_of(F.col("row.text")))).alias("less"), "row"))
     one = left.join(again, meets(again), "left_semi").groupBy("_id", "_sha").agg(longest.alias("best"))
-    return single.union(one.select("best.row.*"))
+    return untouched.union(single).union(one.select("best.row.*"))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from docwatch.llm import exact_dedup, maxent_lm, minhash, mixing, packing, quality_rules, sharding, substring_dedup
 from docwatch.llm import token_counts, url_filter
+from docwatch.llm.common import with_may_be_in
 from docwatch.session import fresh_path, materialize
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -160,6 +161,23 @@ def test_drop_copies(awkward):
     assert set(texts) == {"".join(words(r.text)) for r in awkward.collect()}
 
 
+def test_only_rows_that_may_be_dropped_are_looked_up(spark, monkeypatch):
+    """What may be in the list is all of it and few others; null ids count as an id."""
+    asked = []
+
+    def spy(rows, chosen, keys, name):
+        asked.append(with_may_be_in(rows, chosen, keys, name))
+        return asked[-1]
+
+    monkeypatch.setattr(exact_dedup, "with_may_be_in", spy)
+    rows = [(i, f"text {i}") for i in range(2000)] + [(5000 + i, f"text  {i}") for i in range(20)] + [(None, "text 1")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = {r.doc_id for r in exact_dedup.drop_copies(docs).collect()}
+    assert left == {*range(20, 2000), *range(5000, 5020)}
+    met = {r.row.doc_id for r in asked[0].filter("_met").collect()}
+    assert met >= {None, *range(20)} and len(met) < 400
+
+
 def test_texts_with_one_fingerprint_are_told_apart(spark, monkeypatch):
     from pyspark.sql import functions as F
 
