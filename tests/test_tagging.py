@@ -204,6 +204,27 @@ def test_two_hundred_thousand_terms(spark):
     assert abs(size(found) - size(few)) < 50
 
 
+def test_cost_of_a_text_does_not_follow_topics_it_lacks():
+    """All topics share the words, and all but one are excluded."""
+    words = [f"shared{i}" for i in range(500)]
+    text = " ".join(words) + " unwanted"
+    leet = leet_form(text)
+
+    def best(topics):
+        names = [f"t{i:03}" for i in range(topics)]
+        book = Dictionary.from_lists(names, {"keyword": dict.fromkeys(names, words), "exclude": dict.fromkeys(names[1:], ["unwanted"])})
+        matcher = matcher_of(book)
+        assert matcher.tags(text, leet) == {"topics": ["t000"], "excluded": names[1:], "keywords": words, "negatives": []}
+        spent = []
+        for _ in range(5):
+            start = time.perf_counter()
+            matcher.tags(text, leet)
+            spent.append(time.perf_counter() - start)
+        return min(spent)
+
+    assert best(400) < 5 * best(2)
+
+
 def test_cost_of_a_text_does_not_follow_the_dictionary():
     text = " ".join(f"word{i} some more text" for i in range(20_000))
 
