@@ -33,6 +33,8 @@ from pyspark.sql import functions as F
 TIERS = (1024, 512, 256, 128)
 POOL_TOKENS = 1 << 21
 STEP_TOKENS = 1 << 14
+# Text held as ids at a time; a byte takes some 20 bytes of arrays.
+SLICE_BYTES = 4 << 20
 END_ID = 0
 PART_BITS = 33
 
@@ -257,7 +259,7 @@ def pack(docs: DataFrame, make_encoder: Callable[[], Encoder], with_ids: bool =
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
-def _bounded(batch: pa.RecordBatch, most: int = 16 << 20) -> Iterator[pa.RecordBatch]:
+def _bounded(batch: pa.RecordBatch, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of at most so many bytes of text, or single rows."""
     sizes = np.nan_to_num(pc.binary_length(batch["text"]).to_numpy(zero_copy_only=False)).astype(np.int64)
     lots = np.cumsum(sizes) // most
