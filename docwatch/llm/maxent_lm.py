@@ -104,18 +104,25 @@ class Tokens:
     counts: np.ndarray  # tokens per text
 
 
+def _digests(words: pa.Array) -> np.ndarray:
+    """A 64-bit hash of each word's bytes."""
+    each = words.to_numpy(zero_copy_only=False)
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, each), dtype=np.uint64, count=len(each))
+
+
 def tokens_of(texts: pa.Array, shape: Shape) -> Tokens:
     split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
     flat = split.flatten()
     filled = pc.greater(pc.binary_length(flat), 0).to_numpy(zero_copy_only=False)
     owner = np.repeat(np.arange(len(texts)), np.diff(split.offsets.to_numpy()))[filled]
     coded = flat.dictionary_encode()
-    words = coded.dictionary.cast(pa.binary()).to_pylist()
+    words = coded.dictionary.cast(pa.binary())
     hashes = np.empty(len(words) + 1, dtype=np.int64)
     endings = np.empty(len(words) + 1, dtype=np.int64)
-    for i, word in enumerate(words):
-        hashes[i] = xxhash.xxh3_64_intdigest(word) - (1 << 63)
-        endings[i] = xxhash.xxh3_64_intdigest(word[-shape.ending_bytes :]) % shape.endings
+    hashes[:-1] = (_digests(words) ^ np.uint64(1 << 63)).view(np.int64)
+    # many words share an ending
+    ends = pc.binary_slice(words, -shape.ending_bytes).dictionary_encode()
+    endings[:-1] = (_digests(ends.dictionary) % np.uint64(shape.endings))[ends.indices.to_numpy(zero_copy_only=False)]
     hashes[-1], endings[-1] = END, 0
     counts = np.bincount(owner, minlength=len(texts)) + 1
     place = np.full(int(counts.sum()), len(words), dtype=np.int64)

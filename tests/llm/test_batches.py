@@ -4,7 +4,7 @@ import tracemalloc
 
 import pyarrow as pa
 
-from docwatch.llm import packing
+from docwatch.llm import maxent_lm, packing
 
 
 def test_packing_holds_ids_of_few_texts_at_a_time():
@@ -28,3 +28,14 @@ def test_packing_holds_ids_of_few_texts_at_a_time():
     _, peak = tracemalloc.get_traced_memory()
     tracemalloc.stop()
     assert peak < 100 << 20
+
+
+def test_an_ending_is_hashed_once(monkeypatch):
+    words = [f"{i}ing" for i in range(5000)] + [f"{i}er" for i in range(5000)]
+    shape = maxent_lm.Shape()
+    calls, digest = [], maxent_lm.xxhash.xxh3_64_intdigest
+    monkeypatch.setattr(maxent_lm.xxhash, "xxh3_64_intdigest", lambda word: calls.append(word) or digest(word))
+    found = maxent_lm.tokens_of(pa.array([" ".join(words)]), shape)
+    assert len(calls) == 10_000 + 2
+    assert found.hashes[:-1].tolist() == [digest(w) - (1 << 63) for w in words]
+    assert found.endings[:-1].tolist() == [digest(w[-2:]) % shape.endings for w in words]
