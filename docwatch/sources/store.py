@@ -30,9 +30,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from docwatch.operators.tables import LOOKBACK_HOURS, enrich_update, new_items
+from docwatch.operators.key_filter import with_may_be_in
+from docwatch.operators.tables import LOOKBACK_HOURS, enrich_update, winners, winning_rows, with_digest
 from docwatch.schema import ITEMS
-from docwatch.session import instant, put_once
+from docwatch.session import discard, instant, materialize, put_once
 
 FIELDS = ("lang", "lang_conf", "topics", "keywords")
 CHANGES = "id string, version long, lang string, lang_conf float, topics array<string>, keywords array<string>"
@@ -134,8 +135,14 @@ class ItemStore:
         """Add the rows whose id and url are new, by the rule of :func:`new_items`; gives the version."""
         base = self.version()
         parts = self.parts(base)
-        added = new_items(self._read(parts, "keys", KEYS), incoming)
-        return self._publish(base, parts + self._write_items(added))
+        marked = with_digest(incoming)
+        won = materialize(winners(self._read(parts, "keys", KEYS), marked), "winners")
+        # most rows that aren't new are left where they are read, and only others are shuffled with their texts
+        chosen = won.select("id", F.col("_won").alias("_digest"))
+        near = with_may_be_in(marked, chosen, ["id", "_digest"], "_met").filter("_met").drop("_met")
+        version = self._publish(base, parts + self._write_items(winning_rows(near, won)))
+        discard(won)
+        return version
 
     def update(self, enriched: DataFrame) -> int:
         """Set language and topics of items; ``enriched`` has ``id, ts`` and the fields. No text is written."""

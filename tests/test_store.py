@@ -172,3 +172,34 @@ def test_run_on_a_store_equals_the_run_on_tables(spark, store, rows, as_of):
     assert seen(stored.items) == seen(plain.items)
     assert sorted(map(str, stored.members.collect())) == sorted(map(str, plain.members.collect()))
     assert sorted(map(str, stored.stats.collect())) == sorted(map(str, plain.stats.collect()))
+
+
+def test_only_new_rows_are_shuffled_with_their_texts(spark, store, rows, monkeypatch):
+    """Rows that are there, lose to an earlier one or come twice stay where they are read; rows without url are new."""
+    from docwatch.sources import store as module
+
+    met, worked = [], module.winning_rows
+    monkeypatch.setattr(module, "winning_rows", lambda near, won: met.append((near.count(), won.count())) or worked(near, won))
+    before = store.items().count()
+    more = rows.filter("url is null and cast(id as long) % 5 = 0").withColumn("id", F.concat(F.lit("n"), "id"))
+    later = more.withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 HOUR"))
+    incoming = rows.union(more).union(more).union(later)
+    wanted = tables.new_items(store.items(), incoming).count()
+    store.insert(incoming)
+    assert store.items().count() == before + wanted and 0 < wanted <= 30
+    assert met[0][1] == wanted and met[0][0] <= 2 * wanted + 2 < incoming.count()
+    # texts are dealt by id and digest once, and not again for equal rows
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        marked = tables.with_digest(spark.read.schema(rows.schema).parquet(fresh(spark, incoming)))
+        won = spark.read.schema("id string, _won string").parquet(fresh(spark, tables.winners(store.items().limit(0), marked)))
+        plan = tables.winning_rows(marked, won)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange") == 2
+
+
+def fresh(spark, frame):
+    path = fresh_path(spark, "frame")
+    frame.write.parquet(path)
+    return path
